@@ -49,8 +49,10 @@ def align(
     values = [c for c in agg.columns if c not in (*series_cols, ts_col)]
     if series_cols:
         if series is None:
-            # counting every value column keeps both uses of ``agg`` identical, so Spark computes its
-            # shuffle once and reuses it
+            # the same null filter and every value column on both sides keep the two uses of ``agg``
+            # identical, so Spark computes its shuffle once and reuses it
+            for c in (*series_cols, ts_col):
+                agg = agg.where(F.col(c).isNotNull())
             used = [F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate([*values, ts_col])]
             series = agg.groupBy(*series_cols).agg(*used).where(
                 " and ".join(f"_n{i} >= 0" for i in range(len(used)))

@@ -134,3 +134,18 @@ def r(df: DataFrame, places: int = 6, only: list[str] | None = None) -> DataFram
 def q(expr: str, name: str | None = None, places: int = 6) -> str:
     name = name or expr
     return f'round(CAST({expr} AS DOUBLE) + 1.23e-{places + 2}::DOUBLE, {places}) AS "{name}"'
+
+
+def mad_sql(source: str, col: str, threshold: float, groups: str = "", name: str | None = None) -> str:
+    """Median-deviation bounds of one column of ``source``; ``groups`` is a comma-separated key list."""
+    part = f"PARTITION BY {groups}" if groups else ""
+    key = f"{groups}, " if groups else ""
+    by = f"GROUP BY {groups}" if groups else ""
+    return f"""SELECT {key}'{name or col}' AS "column", CASE WHEN d > 2 THEN med END AS median, d > 2 AND skewed AS skewed,
+  CASE WHEN d > 2 THEN med - {threshold} * CASE WHEN skewed THEN dn ELSE mad END END AS min_val,
+  CASE WHEN d > 2 THEN med + {threshold} * CASE WHEN skewed THEN up ELSE mad END END AS max_val
+  FROM (SELECT {key}any_value(med) AS med, count(DISTINCT x) + CAST(bool_or(x IS NULL) AS INTEGER) AS d,
+    bool_or(x IS NULL) OR NOT coalesce(abs(avg(power(x - mu, 3)) / power(avg(power(x - mu, 2)), 1.5)) < 1, FALSE) AS skewed,
+    median(abs(x - med)) AS mad, median(abs(x - med)) FILTER (x >= med) AS up, median(abs(x - med)) FILTER (x < med) AS dn
+    FROM (SELECT {key}CAST({col} AS DOUBLE) AS x, median(CAST({col} AS DOUBLE)) OVER ({part}) AS med,
+      avg(CAST({col} AS DOUBLE)) OVER ({part}) AS mu FROM {source}) {by})"""
