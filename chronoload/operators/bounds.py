@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoload.operators.keys import join_on
 from chronoload.operators.quantiles import exact_quantiles, quantile_name
+from chronoload.session import stage
 
 
 def _long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
@@ -27,19 +28,19 @@ def mad_bounds(
     """
     keys = [*group_cols, "column"]
     long = _long(df, cols, group_cols)
-    present = long.where(F.col("_x").isNotNull())
-    shape = long.groupBy(*keys).agg(
-        (F.count("*") > F.count("_x")).alias("_has_null"),
-        F.min("_x").alias("_min"),
-        F.max("_x").alias("_max"),
-        F.skewness("_x").alias("_skew"),
-    )
-    centre = exact_quantiles(present, "_x", [0.5], keys).select(*keys, F.col(quantile_name(0.5)).alias("median"))
-    base = join_on(shape, centre, keys, "left").withColumn(
-        "skewed", F.col("_has_null") | ~F.coalesce(F.abs("_skew") < 1, F.lit(False))
-    )
+    base = exact_quantiles(
+        long, "_x", [0.5], keys,
+        extras=[
+            (F.count("*") > F.count("_x")).alias("_has_null"),
+            F.min("_x").alias("_min"),
+            F.max("_x").alias("_max"),
+            F.skewness("_x").alias("_skew"),
+        ],
+    ).withColumnRenamed(quantile_name(0.5), "median")
+    base = base.withColumn("skewed", F.col("_has_null") | ~F.coalesce(F.abs("_skew") < 1, F.lit(False)))
+    base = stage(base, "centres")  # one row per group and column
     side = F.when(~F.col("skewed"), F.lit("both")).when(F.col("_x") >= F.col("median"), F.lit("upper")).otherwise("lower")
-    deviations = join_on(present, base, keys).select(
+    deviations = join_on(long.where(F.col("_x").isNotNull()), base, keys).select(
         *keys,
         side.alias("_side"),
         F.abs(F.col("_x") - F.col("median")).alias("_dev"),
@@ -47,18 +48,20 @@ def mad_bounds(
     )
     mad = F.col(quantile_name(0.5))
     spreads = (
-        exact_quantiles(deviations, "_dev", [0.5], [*keys, "_side"])
+        exact_quantiles(
+            deviations, "_dev", [0.5], [*keys, "_side"], extras=[F.max(F.col("_between").cast("int")).alias("_inner")]
+        )
         .groupBy(*keys)
         .agg(
             F.max(F.when(F.col("_side").isin("both", "upper"), mad)).alias("_up"),
             F.max(F.when(F.col("_side").isin("both", "lower"), mad)).alias("_down"),
+            F.max("_inner").alias("_inner"),
         )
     )
-    between = deviations.groupBy(*keys).agg(F.max("_between").alias("_between"))
-    table = join_on(join_on(base, spreads, keys, "left"), between, keys, "left")
+    table = join_on(base, spreads, keys, "left")
     distinct = (
         F.when(F.col("_min").isNull(), 0).when(F.col("_min") == F.col("_max"), 1)
-        .when(F.col("_between"), 3).otherwise(2) + F.col("_has_null").cast("int")
+        .when(F.col("_inner") == 1, 3).otherwise(2) + F.col("_has_null").cast("int")
     )
     bounded = distinct > 2
     return table.select(

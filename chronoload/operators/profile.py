@@ -113,7 +113,7 @@ def value_counts(df: DataFrame, *cols: str) -> DataFrame:
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
     """Counts of two columns against each other, 0 where a pair does not occur."""
-    wide = df.where(F.col(rows).isNotNull()).groupBy(rows).pivot(columns, list(values)).agg(F.count("*"))
+    wide = df.where(F.col(rows).isNotNull()).groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
     return wide.fillna(0)
 
 

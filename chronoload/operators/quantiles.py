@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoload.operators.keys import join_on
+from chronoload.session import stage
 
 
 def quantile_name(p: float) -> str:
@@ -26,9 +27,13 @@ def exact_quantiles(
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
     accuracy: int = 20_000,
+    extras: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per group: ``n`` and one linearly interpolated quantile column per probability.
 
+    ``extras`` are further named aggregates (over ``df``'s columns) that ride along on the sketch's pass;
+    with them, groups without any value appear too, with null quantiles.
+
     The sketch's rank error is at most 1/accuracy of the group; the brackets are six times wider, so
     they hold the wanted ranks, and at most 12/accuracy of a group's rows per probability are kept
     apart. Groups of up to ``accuracy`` rows are kept whole. A rank outside its bracket would raise.
@@ -37,12 +42,14 @@ def exact_quantiles(
     keys = list(group_cols)
     probs = sorted(probs)
     column = F.col(value) if isinstance(value, str) else value
-    v = df.select(*keys, column.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    valued = df.withColumn("_v", column.cast("double"))
+    v = valued.select(*keys, "_v").where(F.col("_v").isNotNull())
     slack = 6.0 / accuracy
     marks = [m for p in probs for m in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = v.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.percentile_approx("_v", marks, F.lit(accuracy)).alias("_marks")
+    sketch = (valued if extras else v).groupBy(*keys).agg(
+        F.count("_v").alias("_rows"), F.percentile_approx("_v", marks, F.lit(accuracy)).alias("_marks"), *extras
     )
+    extra_names = [c for c in sketch.columns if c not in (*keys, "_rows", "_marks")]
     small = F.col("_rows") <= accuracy
 
     def edge(i: int, p: float, low: bool) -> Column:
@@ -55,8 +62,12 @@ def exact_quantiles(
         *keys,
         *[edge(i, p, True).alias(f"_lo{i}") for i, p in enumerate(probs)],
         *[edge(i, p, False).alias(f"_hi{i}") for i, p in enumerate(probs)],
+        *extra_names,
     )
-    marked = join_on(v, brackets, keys)
+    if keys:
+        # a table of known size: Catalyst broadcasts it when small, so the rows are not shuffled for it
+        brackets = stage(brackets, "brackets")
+    marked = join_on(v, brackets.drop(*extra_names), keys)
     inside = F.lit(False)
     passed = F.lit(0)
     for i in range(len(probs)):
@@ -108,4 +119,5 @@ def exact_quantiles(
     found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
     if not keys:  # a global aggregate of no rows is one row of nulls
         found = found.where(F.col("n").isNotNull())
-    return found.select(*keys, "n", *outputs)
+    found = found.select(*keys, "n", *outputs)
+    return join_on(brackets.select(*keys, *extra_names), found, keys, "left") if extras else found

@@ -512,14 +512,14 @@ def d9(spark, sf):
     return v.r(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-@register("d10_period_totals", f"""SELECT date_trunc('month', o_orderdate) AS period, {q('sum(o_totalprice)', 'value', 2)} FROM orders GROUP BY 1""")
+@register("d10_period_totals", f"""SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS period, {q('sum(o_totalprice)', 'value', 2)} FROM orders GROUP BY 1""")
 def d10(spark, sf):
     return v.r(P.period_totals(v.table(spark, sf, "orders"), F.date_trunc("MONTH", "o_orderdate"), "o_totalprice"), 2)
 
 
-@register("d10_period_means_by_weekday", f"""SELECT CAST(ts AS DATE) AS period, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, {q('avg(value)', 'value')} FROM events WHERE isodow(ts) - 1 IN (0, 5, 6) GROUP BY 1, 2""")
+@register("d10_period_means_by_weekday", f"""SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, {q('avg(value)', 'value')} FROM events WHERE isodow(ts) - 1 IN (0, 5, 6) GROUP BY 1, 2""")
 def d10b(spark, sf):
-    return v.r(P.period_totals(v.events(spark, sf), F.to_date("ts"), "value", "mean", True, [0, 5, 6]))
+    return v.r(P.period_totals(v.events(spark, sf), F.date_trunc("DAY", "ts"), "value", "mean", True, [0, 5, 6], "ts"))
 
 
 _DESCRIBE = "count({c}) AS \"count\", " + ", ".join(q(e, n, 4) for e, n in [
@@ -602,11 +602,11 @@ def g1(spark, sf):
 # ---------------------------------------------------------------- H: scalar functions
 
 
-@register("h1_h3_h4_calendar_parts", """SELECT event_id, date_trunc('hour', ts) AS hour_start, date_trunc('month', ts) AS month_start, CAST(ts AS DATE) AS day,
+@register("h1_h3_h4_calendar_parts", """SELECT event_id, date_trunc('hour', ts) AS hour_start, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day,
   CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(dayofyear(ts) AS INTEGER) AS dayofyear, CAST(month(ts) AS INTEGER) AS month FROM events""")
 def h1(spark, sf):
     return v.r(v.events(spark, sf).select(
-        "event_id", timefns.floor_hour("ts").alias("hour_start"), F.date_trunc("MONTH", "ts").alias("month_start"), F.to_date("ts").alias("day"),
+        "event_id", timefns.floor_hour("ts").alias("hour_start"), F.date_trunc("MONTH", "ts").alias("month_start"), F.date_trunc("DAY", "ts").alias("day"),
         F.hour("ts").alias("hour"), timefns.weekday("ts").alias("weekday"), F.dayofyear("ts").alias("dayofyear"), F.month("ts").alias("month")))
 
 

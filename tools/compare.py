@@ -50,7 +50,7 @@ def main() -> int:
     queries, sql = all_queries(), all_sql()
     names = [n for n in queries if not args.names or any(fnmatch.fnmatch(n, p) for p in args.names)]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
+        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.host", "localhost").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
