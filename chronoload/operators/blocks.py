@@ -68,15 +68,20 @@ def block_scan(
     pos: Column,
     order_col: str,
     block_rows: int = BLOCK_ROWS,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Running ``last`` non-null, ``sum``, ``min`` or ``max`` of ``value`` along ``order_col``.
 
+    The current row counts unless ``inclusive`` is false.
+
     ``pos`` numbers the rows of a series and only has to grow with ``order_col``; blocks are cut on
     it. What crosses block borders is one row per block.
     """
     keys = list(series_cols)
     rows = df.withColumn("_v", value).withColumn(BLOCK, F.floor(pos / block_rows).cast("long"))
-    local = Window.partitionBy(*keys, BLOCK).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(*keys, BLOCK).orderBy(order_col).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1
+    )
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     v = F.col("_v")
     if kind == "last":

@@ -110,12 +110,12 @@ def frozen_mad_flags(
 
 def load_outliers(
     df: DataFrame, value: str, start: str, split_date: str, k: float = 3.5, min_samples: int = 720,
-    series_cols: Sequence[str] = (), ts_col: str = "timestamp", out: str = "outlier",
+    series_cols: Sequence[str] = (), ts_col: str = "timestamp", out: str = "outlier", step_seconds: int = 3600,
 ) -> DataFrame:
     """Train rows are judged on their own past, test rows on the parameters of all train rows."""
     split = F.lit(split_date).cast("timestamp")
     train, test = df.where(F.col(ts_col) < split), df.where(F.col(ts_col) >= split)
-    past = expanding_mad_flags(train, value, start, k, min_samples, series_cols, ts_col, out)
+    past = expanding_mad_flags(train, value, start, k, min_samples, series_cols, ts_col, out, step_seconds)
     frozen = frozen_mad_flags(
         test, seasonal_params(train, value, series_cols, ts_col), value, k, series_cols, ts_col, out
     )

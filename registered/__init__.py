@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["first"]
+_MODULES = ["first", "second", "third"]
 
 
 def _merged(attribute: str) -> dict:

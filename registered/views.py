@@ -113,7 +113,7 @@ def with_views(names: str, body: str) -> str:
                 order.append(m)
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({SQL_VIEWS[n]})" for n in order)
     body = body.strip()
-    glue = ",\n" if " AS (" in body.split("\n")[0] and not body.upper().startswith("SELECT") else "\n"
+    glue = "\n" if body.upper().startswith("SELECT") else ",\n"
     return f"WITH {ctes}{glue}{body}"
 
 
