@@ -60,6 +60,7 @@ def exact_quantiles(
 
     brackets = sketch.select(
         *keys,
+        "_rows",
         *[edge(i, p, True).alias(f"_lo{i}") for i, p in enumerate(probs)],
         *[edge(i, p, False).alias(f"_hi{i}") for i, p in enumerate(probs)],
         *extra_names,
@@ -75,32 +76,17 @@ def exact_quantiles(
         passed = passed + (F.col(f"_hi{i}") < F.col("_v")).cast("int")
     # (gap number, value or null): rows between brackets share one key and vanish in the partial sums
     counts = (
-        marked.select(*keys, passed.alias("_gap"), F.when(inside, F.col("_v")).alias("_val"))
-        .groupBy(*keys, "_gap", "_val")
+        marked.select(*keys, F.col("_rows").alias("n"), passed.alias("_gap"), F.when(inside, F.col("_v")).alias("_val"))
+        .groupBy(*keys, "n", "_gap", "_val")
         .agg(F.count("*").alias("_c"))
     )
-    earlier = Window.partitionBy(*keys).orderBy("_gap").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    gaps = (
-        counts.groupBy(*keys, "_gap")
-        .agg(F.sum("_c").alias("_t"))
-        .select(
-            *keys,
-            "_gap",
-            F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_t").over(whole).alias("n"),
-        )
-    )
-    in_gap = (
-        Window.partitionBy(*keys, "_gap")
-        .orderBy(F.col("_val").asc_nulls_first())
+    # what is left of a group: its bracketed distinct values and one row per gap
+    upwards = (
+        Window.partitionBy(*keys)
+        .orderBy("_gap", F.col("_val").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = (
-        join_on(counts, gaps, [*keys, "_gap"])
-        .withColumn("_upto", F.col("_before") + F.sum("_c").over(in_gap))
-        .withColumn("_from", F.col("_upto") - F.col("_c"))
-    )
+    ranked = counts.withColumn("_upto", F.sum("_c").over(upwards)).withColumn("_from", F.col("_upto") - F.col("_c"))
     picks, outputs = [], []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)

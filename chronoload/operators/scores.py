@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoload.functions.textfns import quoted
@@ -21,9 +21,17 @@ def _per_feature(row: DataFrame, features: Sequence[str], fields: dict[str, str]
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
+def _correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows with both values; null when either is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of every feature with the target, in one pass."""
-    aggs = [F.corr(quoted(f).cast("double"), quoted(target).cast("double")).alias(f"r{i}") for i, f in enumerate(features)]
+    y = quoted(target).cast("double")
+    aggs = [_correlation(quoted(f).cast("double"), y).alias(f"r{i}") for i, f in enumerate(features)]
     return _per_feature(df.agg(*aggs), features, {"correlation": "r"})
 
 
@@ -33,11 +41,11 @@ def f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     aggs = []
     for i, f in enumerate(features):
         x = quoted(f).cast("double")
-        aggs += [F.corr(x, y).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
+        aggs += [_correlation(x, y).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
     table = _per_feature(df.agg(*aggs), features, {"_r": "r", "_n": "n"})
     r2 = F.col("_r") * F.col("_r")
     score = F.when(r2 >= 1.0, F.lit(float("inf"))).otherwise(r2 / (1 - r2) * (F.col("_n") - 2))
-    return table.select("feature", F.when(F.isnan("_r") | F.col("_r").isNull(), None).otherwise(score).alias("score"))
+    return table.select("feature", F.when(F.col("_r").isNotNull(), score).alias("score"))
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int = 10) -> DataFrame:

@@ -224,7 +224,7 @@ CLEAN_SQL = """cleaned AS (SELECT *, ln(1 + duration) AS log_duration, ln(1 + di
 
 
 def _cleaned_incidents(spark, sf, only_train=False):
-    df = v.incidents(spark, sf).drop("event_id").withColumn("duration", timefns.minutes_between("starttime", "endtime").cast("double"))
+    df = v.landed(v.incidents(spark, sf), "incidents").drop("event_id").withColumn("duration", timefns.minutes_between("starttime", "endtime").cast("double"))
     twice = df.unionByName(df)
     cleaned, train = C.clean_and_split(
         twice, SPLIT, keep_cols=["starttime", "endtime", "type", "severity", "distance", "duration"],
@@ -305,7 +305,7 @@ TRIM_SQL = SESSION_CLEAN_SQL + f""",
   SELECT event_id, plug_type, {q('charger_kw')} FROM trimmed"""))
 def b13(spark, sf):
     rules = E.SessionRules(keep_cols=(*E.SessionRules.keep_cols, "event_id"))
-    cleaned = stage(E.clean_sessions(v.sessions(spark, sf), rules), "sessions")
+    cleaned = stage(E.clean_sessions(v.landed(v.sessions(spark, sf), "sessions"), rules), "sessions")
     train = C.train_rows(cleaned, SPLIT)
     power = stage(B.quantile_trim_bounds(train, "charger_kw", 0.01, ["plug_type"]), "power")
     return v.r(B.quantile_trim(cleaned, power, "charger_kw", ["plug_type"]).select("event_id", "plug_type", "charger_kw"))
@@ -342,7 +342,7 @@ def b18(spark, sf):
   {q('CASE WHEN distance > hi2 THEN hi2 WHEN distance < lo2 THEN lo2 ELSE distance END', 'distance')} FROM cleaned, w"""))
 def b17(spark, sf):
     rules = E.traffic_rules(["click", "view", "error"], v.SEVERITIES, {})
-    return v.r(E.incidents_capped(v.incidents(spark, sf).drop("event_id"), PERIOD, rules).select("starttime", "type", "severity", "duration", "distance"))
+    return v.r(E.incidents_capped(v.landed(v.incidents(spark, sf), "incidents").drop("event_id"), PERIOD, rules).select("starttime", "type", "severity", "duration", "distance"))
 
 
 @register("b19_sum_matching_columns", """SELECT l_orderkey, l_linenumber, round(l_discount + l_tax + 1.23e-8, 6) AS rate_total, 0.0::DOUBLE AS none_total FROM (
@@ -477,10 +477,10 @@ def d5(spark, sf):
   UNION ALL SELECT 'sessions', * FROM ({v.mad_sql('sessions', 'energy', 4)}))
   SELECT type, "column", skewed, {q('median')}, {q('min_val')}, {q('max_val')} FROM parts"""))
 def d6(spark, sf):
-    df = v.incidents(spark, sf).select(
+    df = v.landed(v.incidents(spark, sf), "incidents").select(
         "type", timefns.minutes_between("starttime", "endtime").alias("duration"), "distance", (F.col("distance") < 5).cast("int").alias("flag"))
     per_type = B.mad_bounds(df, ["duration", "distance", "flag"], 4, ["type"])
-    energy = B.mad_bounds(v.sessions(spark, sf), ["energy"], 4).withColumn("type", F.lit("sessions"))
+    energy = B.mad_bounds(v.landed(v.sessions(spark, sf), "sessions"), ["energy"], 4).withColumn("type", F.lit("sessions"))
     return v.r(per_type.unionByName(energy))
 
 

@@ -87,7 +87,7 @@ LOAD_CTES = f"""{TRIM_SQL.format(q=0.001).replace('SELECT DISTINCT * FROM powere
 
 @register("o4_sessions_to_hourly_load", with_views("sessions hours", f"{LOAD_CTES} SELECT timestamp, {q('energy')}, hour, weekday, energy_outlier FROM e_out"))
 def o4(spark, sf):
-    return v.r(E.sessions_to_load(v.sessions(spark, sf), PERIOD, RULES))
+    return v.r(E.sessions_to_load(v.landed(v.sessions(spark, sf), "sessions"), PERIOD, RULES))
 
 
 def incident_ctes(p, types, measures, out_name, rollups):
@@ -122,7 +122,7 @@ def _cols(names, places=4):
 
 @register("o5_weather_to_hours", with_views("incidents hours", f"{W_CTES} SELECT timestamp, {_cols(W_COLS)} FROM w_out"))
 def o5(spark, sf):
-    return v.r(E.incidents_to_hours(v.incidents(spark, sf), PERIOD, WEATHER), 4)
+    return v.r(E.incidents_to_hours(v.landed(v.incidents(spark, sf), "incidents"), PERIOD, WEATHER), 4)
 
 
 TEMP_CTES = f"""m_mean AS (SELECT starttime, avg(CASE WHEN temp BETWEEN -1 AND 50 THEN temp END) AS temp FROM (SELECT DISTINCT * FROM temps) GROUP BY 1),
@@ -137,18 +137,19 @@ def o6(spark, sf):
 
 @register("o7_traffic_to_hours", with_views("incidents hours", f"{T_CTES} SELECT timestamp, {_cols(T_COLS)} FROM t_out"))
 def o7(spark, sf):
-    return v.r(E.incidents_to_hours(v.incidents(spark, sf), PERIOD, TRAFFIC), 4)
+    return v.r(E.incidents_to_hours(v.landed(v.incidents(spark, sf), "incidents"), PERIOD, TRAFFIC), 4)
 
 
 COMBINED_CTES = f"{LOAD_CTES}, {W_CTES}, {TEMP_CTES}, {T_CTES}, combined AS MATERIALIZED (SELECT * FROM e_out JOIN w_out USING (timestamp) JOIN m_out USING (timestamp) JOIN t_out USING (timestamp))"
 
 
 def combined(spark, sf):
+    log = v.landed(v.incidents(spark, sf), "incidents")
     parts = [
-        stage(E.sessions_to_load(v.sessions(spark, sf), PERIOD, RULES), "load"),
-        stage(E.incidents_to_hours(v.incidents(spark, sf), PERIOD, WEATHER), "weather"),
+        stage(E.sessions_to_load(v.landed(v.sessions(spark, sf), "sessions"), PERIOD, RULES), "load"),
+        stage(E.incidents_to_hours(log, PERIOD, WEATHER), "weather"),
         stage(E.temperature_to_hours(v.temps(spark, sf), PERIOD), "temperature"),
-        stage(E.incidents_to_hours(v.incidents(spark, sf), PERIOD, TRAFFIC), "traffic"),
+        stage(E.incidents_to_hours(log, PERIOD, TRAFFIC), "traffic"),
     ]
     return E.combine_sources(*parts, PERIOD)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoload.operators.grid import align, resample
-from chronoload.session import prepare
+from chronoload.session import prepare, stage
 
 START, END, SPLIT = "2024-01-01", "2024-01-31", "2024-01-22"
 DAY_START, DAY_END, DAY_SPLIT = "1995-01-01", "2001-08-02", "2000-01-01"
@@ -60,6 +60,11 @@ def incidents(spark, sf_dir):
     )
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """The view as a landed table, as the loading jobs leave it: later passes do not parse it again."""
+    return stage(df, f"landed-{name}")
+
+
 def temps(spark, sf_dir):
     return events(spark, sf_dir).where("event_type = 'view'").select(
         (F.col("user_id") % 3).alias("station"), F.date_trunc("HOUR", "ts").alias("starttime"), F.col("value").alias("temp")
