@@ -83,7 +83,8 @@ def sessions_to_load(df: DataFrame, period: Period, rules: SessionRules = Sessio
     series = list(rules.series_cols)
     capped = sessions_capped(df, period, rules)
     sums = G.resample(capped, "starttime", [F.sum("energy").alias("energy")], series, period.step_seconds)
-    load = G.align(sums, period.start, period.end, series, ["energy"], period.step_seconds)
+    # read by both outlier rules; from here on the table is as small as the grid
+    load = stage(G.align(sums, period.start, period.end, series, ["energy"], period.step_seconds), "hourly-load")
     return S.load_outliers(
         load, "energy", period.start, period.split_date, rules.mad_threshold, rules.min_outlier_samples, series,
         out="energy_outlier", step_seconds=period.step_seconds,
@@ -162,7 +163,7 @@ def temperature_to_hours(
     series = list(series_cols)
     cleaned = C.clean_events(df).withColumn("temp", C.null_outside("temp", low, high))
     means = G.resample(cleaned, "starttime", [F.avg("temp").alias("temp")], series, period.step_seconds)
-    hourly = G.align(means, period.start, period.end, series, (), period.step_seconds)
+    hourly = stage(G.align(means, period.start, period.end, series, (), period.step_seconds), "hourly-temperature")
     return S.impute_from_history(hourly, "temp", series, step_seconds=period.step_seconds)
 
 

@@ -220,7 +220,17 @@ def j1(spark, sf):
     return v.r(tsa.acf(v.load_hourly(spark, sf), "load", 192, KEY))
 
 
-@register("j2_partial_autocorrelation")
+_J1 = f"""m AS MATERIALIZED (SELECT event_type, {_POS} AS p, load - avg(load) OVER (PARTITION BY event_type) AS y FROM load_hourly),
+  s AS MATERIALIZED (SELECT a.event_type, k.k AS lag, sum(a.y * b.y) AS c FROM m a, (SELECT unnest(generate_series(0, 192)) AS k) k, m b WHERE b.event_type = a.event_type AND b.p = a.p - k.k GROUP BY 1, 2)"""
+# the recursion on lists: rho[i + 1] is the autocorrelation at lag i
+_J2 = f"""{_J1}, rho AS MATERIALIZED (SELECT event_type, list(c / v ORDER BY lag) AS rho FROM s JOIN (SELECT event_type, c AS v FROM s WHERE lag = 0) USING (event_type) GROUP BY 1),
+  dl AS (SELECT event_type, 1 AS k, [rho[2]] AS phi, 1 - rho[2] * rho[2] AS err, rho[2] AS a FROM rho
+  UNION ALL SELECT event_type, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - na * phi[k + 1 - j]), na), err * (1 - na * na), na
+  FROM (SELECT dl.*, (rho[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[k + 2 - j]))) / err AS na FROM dl JOIN rho USING (event_type) WHERE k < 192))
+  SELECT event_type, CAST(k AS INTEGER) AS lag, {q('a', 'pacf')} FROM dl UNION ALL SELECT event_type, 0, 1.0 FROM rho"""
+
+
+@register("j2_partial_autocorrelation", with_views("load_hourly", _J2).replace("WITH ", "WITH RECURSIVE ", 1))
 def j2(spark, sf):
     return v.r(tsa.pacf(v.load_hourly(spark, sf), "load", 192, KEY))
 
@@ -232,6 +242,17 @@ def j3(spark, sf):
     return v.r(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+_SXX = "regr_sxx(y, x)"
+_SSE = "(regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x))"
+
+
+@register("j3_unit_root_without_lags", with_views("load_hourly", f"""d AS (SELECT event_type, load - lag(load) OVER {_W} AS y, lag(load) OVER {_W} AS x FROM load_hourly)
+  SELECT event_type, count(*) AS n, {q(f'regr_slope(y, x) / sqrt({_SSE} / (count(*) - 2) / {_SXX})', 'statistic')},
+  {q('-2.86154 - 2.8903 / count(*) - 4.234 / power(count(*), 2) - 40.040 / power(count(*), 3)', 'crit_5')} FROM d WHERE x IS NOT NULL GROUP BY 1"""))
+def j3s(spark, sf):
+    return v.r(tsa.adf(v.load_hourly(spark, sf), "load", 0, "c", KEY, start=START).select("event_type", "n", "statistic", "crit_5"))
+
+
 def _kpss_sql(resid, reg, lags, crit):
     cross = f"""SELECT a.event_type, sum(CASE WHEN k.k = 0 THEN 1 ELSE 2 * (1 - k.k / {lags + 1}.0) END * a.e * b.e) AS s2 FROM e a, (SELECT unnest(generate_series(0, {lags})) AS k) k, e b
     WHERE b.event_type = a.event_type AND b.p = a.p - k.k GROUP BY 1"""

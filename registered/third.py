@@ -264,9 +264,23 @@ def l9(spark, sf):
     return v.r(importance.permutation_importance(model.stages[-1], train, FEATURES, "load", ["event_type", "timestamp"], 5, 42))
 
 
-@register("l12_holt_winters")
+# the smoothing recursion per series and parameter triple, with the season as a list
+_L12 = f"""ys AS MATERIALIZED (SELECT event_type, list(load ORDER BY timestamp) AS y FROM load_hourly WHERE timestamp < TIMESTAMP '{SPLIT}' GROUP BY 1),
+  grid AS (SELECT a, b, g FROM (SELECT unnest([0.05, 0.2, 0.5]::DOUBLE[]) AS a), (SELECT unnest([0.0, 0.01, 0.1]::DOUBLE[]) AS b), (SELECT unnest([0.05, 0.2, 0.5]::DOUBLE[]) AS g)),
+  hw AS (SELECT event_type, a, b, g, 0 AS t, list_avg(y[1:24]) AS level, (list_avg(y[25:48]) - list_avg(y[1:24])) / 24 AS slope,
+    list_transform(y[1:24], lambda x: x - list_avg(y[1:24])) AS season, 0.0::DOUBLE AS sse FROM ys, grid
+  UNION ALL SELECT event_type, a, b, g, t + 1, nl, b * (nl - level) + (1 - b) * slope,
+    list_concat(list_append(season[1:t % 24], g * (x - nl) + (1 - g) * s), season[t % 24 + 2:24]), sse + power(x - (level + slope + s), 2)
+  FROM (SELECT *, a * (x - s) + (1 - a) * (level + slope) AS nl FROM (SELECT hw.*, y[t + 1] AS x, season[t % 24 + 1] AS s FROM hw JOIN ys USING (event_type) WHERE t < 504))),
+  best AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY sse) AS rn FROM hw WHERE t = 504)
+  SELECT event_type, TIMESTAMP '{SPLIT}' + to_hours(h - 1) AS timestamp, {q('level + h * slope + season[(504 + h - 1) % 24 + 1]', 'prediction')}, {q('a', 'alpha')}, {q('b', 'beta')}, {q('g', 'gamma')}, {q('sse', 'sse', 2)}
+  FROM best, (SELECT unnest(generate_series(1, 216)) AS h) WHERE rn = 1"""
+
+
+@register("l12_holt_winters", with_views("load_hourly", _L12).replace("WITH ", "WITH RECURSIVE ", 1))
 def l12(spark, sf):
-    return v.r(forecast.holt_winters(v.load_hourly(spark, sf), "load", SPLIT, 216, 24, KEY))
+    out = forecast.holt_winters(v.load_hourly(spark, sf), "load", SPLIT, 216, 24, KEY)
+    return v.r(v.r(out, 6, ["prediction", "alpha", "beta", "gamma"]), 2, ["sse"])
 
 
 def _exogenous(frame):
@@ -284,6 +298,36 @@ def l14(spark, sf):
         model, load, _exogenous(frame), "load", SPLIT, 48, series_cols=KEY, trend=trend, series_start=START, checkpoint_every=24))
 
 
+_LAG24 = "(SELECT event_type, timestamp, load, lag(load, 24) OVER (PARTITION BY event_type ORDER BY timestamp) AS x FROM load_hourly)"
+
+
+@register("l8_l14_recursive_forecast_one_lag", with_views("load_hourly", f"""fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_LAG24} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL),
+  day1 AS (SELECT event_type, timestamp + INTERVAL 24 HOUR AS timestamp, s * load + i AS forecast FROM load_hourly, fit WHERE timestamp >= TIMESTAMP '{SPLIT}' - INTERVAL 24 HOUR AND timestamp < TIMESTAMP '{SPLIT}'),
+  both_days AS (SELECT * FROM day1 UNION ALL SELECT event_type, timestamp + INTERVAL 24 HOUR, s * forecast + i FROM day1, fit)
+  SELECT b.event_type, b.timestamp, {q('forecast', places=4)}, {q('load', 'actual', 4)} FROM both_days b JOIN load_hourly l ON l.event_type = b.event_type AND l.timestamp = b.timestamp"""))
+def l14s(spark, sf):
+    load = stage(v.load_hourly(spark, sf), "load")
+    frame = windows.history_features(load, {"load": [24]}, series_cols=KEY)
+    model = fit.fit_final(C.train_rows(frame.dropna(), SPLIT, "timestamp"), ["load_lag_24"], "load", "Linear")
+    times = frame.select("event_type", "timestamp")
+    return v.r(forecast.recursive_forecast(model, load, times, "load", SPLIT, 48, 24, series_cols=KEY), 4)
+
+
+def _fold_sql(i):
+    lo, hi = f"TIMESTAMP '{START}' + to_hours({24 + 480 - (3 - i) * 120})", f"TIMESTAMP '{START}' + to_hours({24 + 480 - (2 - i) * 120})"
+    return f"""SELECT sqrt(avg(power(load - (s * x + i), 2))) AS rmse, avg(abs(load - (s * x + i))) AS mae FROM pairs, (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM pairs WHERE timestamp < {lo})
+  WHERE timestamp >= {lo} AND timestamp < {hi}"""
+
+
+@register("l2_cross_validation_one_lag", with_views("load_hourly", f"""pairs AS (SELECT * FROM {_LAG24} WHERE x IS NOT NULL AND timestamp < TIMESTAMP '{SPLIT}'),
+  folds AS ({' UNION ALL '.join(_fold_sql(i) for i in range(3))}) SELECT 'rmse' AS metric, {q('avg(rmse)', 'value', 4)} FROM folds UNION ALL SELECT 'mae', {q('avg(mae)', 'value', 4)} FROM folds"""))
+def l2s(spark, sf):
+    frame = windows.history_features(v.load_hourly(spark, sf), {"load": [24]}, series_cols=KEY)
+    train = C.train_rows(stage(frame.dropna(), "frame"), SPLIT, "timestamp")
+    scores = folds.cv_scores(train, ["load_lag_24"], "load", build_model("Linear"), 3)
+    return v.r(spark.createDataFrame([(k, float(x)) for k, x in scores.items()], "metric string, value double"), 4)
+
+
 @register("l16_additive_regression")
 def l16(spark, sf):
     load = stage(v.load_hourly(spark, sf), "load")
