@@ -50,33 +50,24 @@ def exact_quantiles(
         F.count("_v").alias("_rows"), F.percentile_approx("_v", marks, F.lit(accuracy)).alias("_marks"), *extras
     )
     extra_names = [c for c in sketch.columns if c not in (*keys, "_rows", "_marks")]
-    small = F.col("_rows") <= accuracy
+    names = [f"`{k}`" for k in keys]
 
-    def edge(i: int, p: float, low: bool) -> Column:
-        mark = F.get("_marks", F.lit(2 * i + (0 if low else 1)))
-        if low:
-            return F.when(small | F.lit(p - slack <= 0), F.lit(float("-inf"))).otherwise(mark)
-        return F.when(small | F.lit(p + slack >= 1), F.lit(float("inf"))).otherwise(mark)
+    def edges(i: int, p: float) -> list[str]:
+        """SQL of a bracket's ends: open for small groups and where the slack leaves [0, 1]."""
+        low = "double('-inf')" if p <= slack else f"if(_rows <= {accuracy}, double('-inf'), get(_marks, {2 * i}))"
+        high = "double('inf')" if p + slack >= 1 else f"if(_rows <= {accuracy}, double('inf'), get(_marks, {2 * i + 1}))"
+        return [f"{low} AS _lo{i}", f"{high} AS _hi{i}"]
 
-    brackets = sketch.select(
-        *keys,
-        "_rows",
-        *[edge(i, p, True).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[edge(i, p, False).alias(f"_hi{i}") for i, p in enumerate(probs)],
-        *extra_names,
-    )
+    brackets = sketch.selectExpr(*names, "_rows", *[e for i, p in enumerate(probs) for e in edges(i, p)], *extra_names)
     if keys:
         # a table of known size: Catalyst broadcasts it when small, so the rows are not shuffled for it
         brackets = stage(brackets, "brackets")
     marked = join_on(v, brackets.drop(*extra_names), keys)
-    inside = F.lit(False)
-    passed = F.lit(0)
-    for i in range(len(probs)):
-        inside = inside | F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        passed = passed + (F.col(f"_hi{i}") < F.col("_v")).cast("int")
+    inside = " OR ".join(f"_v BETWEEN _lo{i} AND _hi{i}" for i in range(len(probs)))
+    passed = " + ".join(f"int(_hi{i} < _v)" for i in range(len(probs)))
     # (gap number, value or null): rows between brackets share one key and vanish in the partial sums
     counts = (
-        marked.select(*keys, F.col("_rows").alias("n"), passed.alias("_gap"), F.when(inside, F.col("_v")).alias("_val"))
+        marked.selectExpr(*names, "_rows AS n", f"{passed} AS _gap", f"if({inside}, _v, NULL) AS _val")
         .groupBy(*keys, "n", "_gap", "_val")
         .agg(F.count("*").alias("_c"))
     )
@@ -86,24 +77,20 @@ def exact_quantiles(
         .orderBy("_gap", F.col("_val").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = counts.withColumn("_upto", F.sum("_c").over(upwards)).withColumn("_from", F.col("_upto") - F.col("_c"))
+    ranked = counts.withColumn("_upto", F.sum("_c").over(upwards))
     picks, outputs = [], []
     for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        k = F.floor(pos)
-        hit = lambda r: (F.col("_from") <= r) & (r < F.col("_upto"))
+        pos = f"({float(p)!r}D * (n - 1))"
+        at = lambda rank: f"max(if({rank} >= _upto - _c AND {rank} < _upto, _val, NULL))"
         picks += [
-            F.max(F.when(hit(k), F.col("_val"))).alias(f"_a{i}"),
-            F.max(F.when(hit(F.least(k + 1, F.col("n") - 1)), F.col("_val"))).alias(f"_b{i}"),
+            F.expr(f"{at(f'floor({pos})')} AS _a{i}"), F.expr(f"{at(f'least(floor({pos}) + 1, n - 1)')} AS _b{i}"),
         ]
-        low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
         outputs.append(
-            F.when(low.isNotNull() & high.isNotNull(), low + (high - low) * (pos - k))
-            .otherwise(F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-            .alias(quantile_name(p))
+            f"if(_a{i} IS NOT NULL AND _b{i} IS NOT NULL, _a{i} + (_b{i} - _a{i}) * ({pos} - floor({pos})), "
+            f"double(raise_error('quantile rank outside its bracket'))) AS {quantile_name(p)}"
         )
     found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
     if not keys:  # a global aggregate of no rows is one row of nulls
         found = found.where(F.col("n").isNotNull())
-    found = found.select(*keys, "n", *outputs)
+    found = found.selectExpr(*names, "n", *outputs)
     return join_on(brackets.select(*keys, *extra_names), found, keys, "left") if extras else found

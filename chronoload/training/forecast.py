@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,7 +149,7 @@ def recursive_forecast(
     model: PipelineModel, history: DataFrame, exogenous: DataFrame, target: str, forecast_start: str, horizon: int,
     max_lag: int = 168, flag: str | None = None, series_cols: Sequence[str] = (), ts_col: str = "timestamp",
     step_seconds: int = 3600, trend: DataFrame | None = None, series_start: str | None = None,
-    checkpoint_every: int = 24,
+    checkpoint_every: int = 8,
 ) -> DataFrame:
     """``(series…, timestamp, forecast, actual)`` over ``horizon`` steps, each step fed by the ones before.
 
@@ -163,7 +164,7 @@ def recursive_forecast(
     keys = list(series_cols)
     spark = history.sparkSession
     shared_dir(spark)
-    features = feature_names(model)
+    features, regressor = feature_names(model), model.stages[-1]
     sources = [s for s in (flag, target) if s]
     from_target = {f: next(s for s in sources if f.startswith(f"{s}_")) for f in features
                    if any(f.startswith(f"{s}_lag_") or f.startswith(f"{s}_rw_") for s in sources)}
@@ -194,20 +195,27 @@ def recursive_forecast(
         )
     kept = [*keys, *[f"_h_{s}" for s in sources], "_ahead", "_fc"]
     state = state.select(*kept)
+    # the columns of a step are the same for every step: its number is how many forecasts there are. The
+    # vector is in the order the model was fitted; a missing given value becomes NaN
+    now = F.element_at("_ahead", F.size("_fc") + 1)
+    vector = F.array(
+        *[
+            _from_history(f, from_target[f], F.col(f"_h_{from_target[f]}"))
+            if f in from_target
+            else F.coalesce(now.getField(f), F.lit(float("nan")))
+            for f in features
+        ]
+    )
+    inputs = [*kept, array_to_vector(vector).alias("features")]
+    moved = [
+        F.concat(
+            F.slice(f"_h_{s}", F.lit(2), F.lit(max_lag - 1)), F.array(F.col("prediction") if s == target else F.lit(0.0))
+        ).alias(f"_h_{s}")
+        for s in sources
+    ]
+    outputs = [*keys, *moved, "_ahead", F.concat("_fc", F.array("prediction")).alias("_fc")]
     for step in range(horizon):
-        row = state.select(
-            *kept,
-            *[_from_history(f, s, F.col(f"_h_{s}")).alias(f) for f, s in from_target.items()],
-            *[F.element_at("_ahead", step + 1).getField(g).alias(g) for g in given],
-        )
-        scored = model.transform(row)
-        push = lambda h, x: F.concat(F.slice(h, F.lit(2), F.lit(max_lag - 1)), F.array(x))
-        state = scored.select(
-            *keys,
-            *[push(F.col(f"_h_{s}"), F.col("prediction") if s == target else F.lit(0.0)).alias(f"_h_{s}") for s in sources],
-            "_ahead",
-            F.concat("_fc", F.array("prediction")).alias("_fc"),
-        )
+        state = regressor.transform(state.select(*inputs)).select(*outputs)
         if (step + 1) % checkpoint_every == 0:
             state = state.checkpoint()
     out = state.select(*keys, F.posexplode("_fc").alias("_i", "forecast")).select(

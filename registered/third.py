@@ -295,7 +295,7 @@ def l14(spark, sf):
     frame = windows.history_features(flat, {"load": [1, 24, 168]}, {"load": [24]}, {"load": [3]}, KEY).withColumn("hour", F.hour("timestamp").cast("double"))
     model = fit.fit_final(C.train_rows(frame.dropna(), SPLIT, "timestamp"), FEATURES, "load", "Linear")
     return v.r(forecast.recursive_forecast(
-        model, load, _exogenous(frame), "load", SPLIT, 48, series_cols=KEY, trend=trend, series_start=START, checkpoint_every=24))
+        model, load, _exogenous(frame), "load", SPLIT, 48, series_cols=KEY, trend=trend, series_start=START))
 
 
 _LAG24 = "(SELECT event_type, timestamp, load, lag(load, 24) OVER (PARTITION BY event_type ORDER BY timestamp) AS x FROM load_hourly)"
