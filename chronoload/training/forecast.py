@@ -216,7 +216,8 @@ def recursive_forecast(
     outputs = [*keys, *moved, "_ahead", F.concat("_fc", F.array("prediction")).alias("_fc")]
     for step in range(horizon):
         state = regressor.transform(state.select(*inputs)).select(*outputs)
-        if (step + 1) % checkpoint_every == 0:
+        # also after the last step: a filter pushed into uncut steps would repeat them inside each other
+        if (step + 1) % checkpoint_every == 0 or step == horizon - 1:
             state = state.checkpoint()
     out = state.select(*keys, F.posexplode("_fc").alias("_i", "forecast")).select(
         *keys, F.timestamp_seconds(F.unix_seconds(begin) + F.col("_i") * step_seconds).alias(ts_col), "forecast"
