@@ -313,6 +313,14 @@ def l14s(spark, sf):
     return v.r(forecast.recursive_forecast(model, load, times, "load", SPLIT, 48, 24, series_cols=KEY), 4)
 
 
+@register("l13_walk_forward_one_lag", with_views("load_hourly", f"""fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_LAG24} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL)
+  SELECT event_type, {q('avg(abs(load - (s * x + i)))', 'score', 4)}, count(*) AS steps FROM {_LAG24}, fit WHERE timestamp >= TIMESTAMP '{SPLIT}' GROUP BY 1"""))
+def l13s(spark, sf):
+    frame = stage(windows.history_features(v.load_hourly(spark, sf), {"load": [24]}, series_cols=KEY).dropna(), "frame")
+    model = fit.fit_final(C.train_rows(frame, SPLIT, "timestamp"), ["load_lag_24"], "load", "Linear")
+    return v.r(forecast.walk_forward_score(fit.predict(model, frame), "load", "prediction", SPLIT, END, KEY), 4)
+
+
 def _fold_sql(i):
     lo, hi = f"TIMESTAMP '{START}' + to_hours({24 + 480 - (3 - i) * 120})", f"TIMESTAMP '{START}' + to_hours({24 + 480 - (2 - i) * 120})"
     return f"""SELECT sqrt(avg(power(load - (s * x + i), 2))) AS rmse, avg(abs(load - (s * x + i))) AS mae FROM pairs, (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM pairs WHERE timestamp < {lo})

@@ -145,3 +145,15 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = stage(spark.range(3).toDF("x"), "t")
     assert staged.inputFiles()[0].replace("file://", "").startswith(shared_dir(spark))
+
+
+def test_without_a_named_folder_only_a_local_master_gets_one(spark):
+    from types import SimpleNamespace
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: "set")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
