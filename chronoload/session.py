@@ -4,18 +4,36 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Every timestamp in this package is wall-clock UTC."""
+    """Every timestamp in this package is wall-clock UTC; the workers can import the package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, whatever folder the driver runs in."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="chronoload-package-")) / "chronoload_package.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, as named by ``spark.checkpoint.dir``.
 
