@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from chronoload.llm.common import SPACED, keyed_texts, remainder, table, texts_of
 from chronoload.session import prepare, stage
 
-ORDER = 4
+ORDER = 5
 BLOCK = 16 << 20
 HOLD = (7, 2)
 END = 0x0A  # never inside a token
