@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +45,7 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 class Cache(dict):
     """A memo of two generations: what was not asked for during a generation is forgotten. Holds 2 * ``limit`` at most."""
 
-    def __init__(self, make, limit: int) -> None:
+    def __init__(self, make: Callable, limit: int) -> None:
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -51,12 +53,23 @@ class Cache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
-def rows_out(schema: pa.Schema, columns: Iterable) -> Iterator[pa.RecordBatch]:
-    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+@contextmanager
+def uncollected():
+    """No cycle collector meanwhile: large memos have no cycles, and walking them again and again costs a third."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoload.llm.common import remainder, table
+from chronoload.llm.common import remainder, table, uncollected
 from chronoload.session import prepare, stage
 
 FEATURES = 1 << 17
@@ -329,7 +329,8 @@ def predict(docs: DataFrame, field: Field, hold: tuple[int, int] = HOLD) -> Data
 
     def run(batches):
         for batch in batches:
-            names, scores = sent.value.predict(batch.column(2).to_pylist())
+            with uncollected():
+                names, scores = sent.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])
@@ -345,7 +346,8 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 
     def keep(batches):
         for batch in batches:
-            names, scores = sent.value.predict(batch.column(batch.schema.get_field_index("text")).to_pylist())
+            with uncollected():
+                names, scores = sent.value.predict(batch.column(batch.schema.get_field_index("text")).to_pylist())
             good = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
