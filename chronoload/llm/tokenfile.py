@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoload.llm.bpe import shipped
-from chronoload.llm.common import Cache, keyed_texts, table
+from chronoload.llm.common import Cache, keyed_texts, table, uncollected
 from chronoload.session import new_path, stage
 
 MAGIC = b"IDZ1"
@@ -44,8 +45,11 @@ SAMPLE = 512
 DICTIONARY_BYTES = 64 << 10
 DOCS_PER_SHARD = 1 << 14
 LEVEL = 3
-_MEMO = 200_000
+_MEMO = 350_000
+#: Stands between words encoded in one call; a word that holds it is encoded alone.
+_BETWEEN = "\x01"
 #: str.split() cuts at these, the tokenizer does not: texts with one of them go to the library as they are.
+_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?|)]*)").fullmatch
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -63,29 +67,52 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = struct.pack("<I", end)
         self.memo = Cache(self._word, _MEMO)
+        self.signs = Cache(self._word, 10_000)
+        (self.between,) = np.frombuffer(self._word(_BETWEEN), "<u4").tolist()
 
     def _word(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, texts: list[str | None]) -> None:
-        """Encodes the words of ``texts`` that are new in one call of the library."""
-        memo, old = self.memo, self.memo.old
-        fresh = {w for t in texts if t and not _SEPARATORS.search(t) for w in t.split() if w not in memo and w not in old}
-        if fresh:
-            fresh = list(fresh)
-            for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                if len(memo) >= memo.limit:
-                    memo.old = dict(memo)
-                    memo.clear()
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if _SEPARATORS.search(text):
-            return self._word(text) + self.end
-        memo = self.memo
-        return b"".join([memo[w] for w in text.split()]) + self.end
+    def _learn(self, fresh: list[str]) -> None:
+        """Encodes new words: plain ones by the library's merges, the others in one call of its whole chain."""
+        memo, merges, signs, rest = self.memo, self.tokenizer.model.tokenize, self.signs, []
+        found = []
+        for w in fresh:
+            plain = _PLAIN(w)
+            if plain is None:
+                rest.append(w)
+            else:
+                tail = plain[2]
+                ids = array("I", [t.id for t in merges(plain[1].lower())]).tobytes()
+                found.append((w, ids + signs[tail] if tail else ids))
+        if rest:
+            ids = np.array(self.tokenizer.encode(f" {_BETWEEN} ".join(rest), add_special_tokens=False).ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.between), len(ids))
+            raw, begin = ids.tobytes(), 0
+            for w, end in zip(rest, (4 * ends).tolist(), strict=True):
+                found.append((w, raw[begin:end]))
+                begin = end + 4
+        for w, ids in found:
+            memo.put(w, ids)
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of some texts, each with the end id, little-endian."""
+        memo, end = self.memo, self.end
+        words = [t.split() if t and not _SEPARATORS.search(t) else [] for t in texts]
+        known = [list(map(memo.get, own)) for own in words]
+        open_ = [k for k, got in enumerate(known) if None in got]
+        fresh = {w for k in open_ for w, v in zip(words[k], known[k], strict=True) if v is None}
+        told = {w: v for w in fresh if (v := memo.old.get(w)) is not None}
+        odd = {w: self._word(w) for w in fresh if _BETWEEN in w}
+        self._learn([w for w in fresh if w not in told and w not in odd])
+        for w, v in told.items():
+            memo.put(w, v)
+        for k in open_:
+            known[k] = [v if v is not None else odd[w] if w in odd else memo[w] for w, v in zip(words[k], known[k], strict=True)]
+        return [
+            b"".join(got) + end if not t or not _SEPARATORS.search(t) else self._word(t) + end
+            for t, got in zip(texts, known, strict=True)
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -97,7 +124,8 @@ def _dictionary(docs: DataFrame, tokenizer_path: str, end: int) -> bytes:
     chosen = docs.where("text != ''").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     ids = [r.doc_id for r in chosen.collect() if r.doc_id is not None]
     encoder = Encoder(tokenizer_path, end)
-    parts = [encoder.encode(r.text) for r in docs.where(F.col("doc_id").isin(ids)).toLocalIterator()] if ids else []
+    rows = docs.where(F.col("doc_id").isin(ids)).toLocalIterator() if ids else []
+    parts = [encoder.encode_all([r.text])[0] for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on
@@ -120,9 +148,8 @@ def encode_frames(docs: DataFrame, tokenizer_path: str, dictionary: bytes, end:
         for batch in batches:
             for a in range(0, len(batch), 1024):
                 part = batch.slice(a, 1024)
-                texts = part.column(1).to_pylist()
-                encoder.learn(texts)
-                raw = [encoder.encode(t) for t in texts]
+                with uncollected():
+                    raw = encoder.encode_all(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(r) // 4 for r in raw], pa.int64()),
                     pa.array([press.compress(r) for r in raw], pa.binary())], names=["doc_id", "n_tokens", "frame"])
@@ -233,7 +260,8 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = True) ->
                     yield pa.RecordBatch.from_arrays(arrays + [pa.array(raw, pa.binary())] * with_ids, names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return manifest.select("file", "start").repartition("file").mapInArrow(read, schema)
+    files = max(1, manifest.count())
+    return manifest.select("file", "start").repartition(files).mapInArrow(read, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
