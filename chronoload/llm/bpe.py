@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,11 +27,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoload.llm.common import Cache, keyed_texts, table
+from chronoload.llm.common import Cache, keyed_texts, table, uncollected
 from chronoload.session import prepare
 
-MAX_STATES = 150_000
-MEMO = 150_000
+MAX_STATES = 200_000
+MEMO = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -155,7 +156,7 @@ class Transducer:
             return [whole]
         if len(self.states) > self.max_states:
             self._reset()
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > 400_000:
             self.fits.clear()
         state, out, moves, sure = 0, [], self.next, self.sure
         for byte in piece:
@@ -211,7 +212,8 @@ class Codec:
         # A space between two characters that are no white space always begins a piece.
         self.gap = regex.compile(r"(?<=\S) (?=\S)")
         self.tight = regex.compile(r"[\s\x1c-\x1f](?:[\s\x1c-\x1f]|\Z)|\A\s")
-        self.memo = Cache(self._chunk, memo)
+        self.first = Cache(self._chunk, 10_000)
+        self.memo = Cache(lambda chunk: self._chunk(" " + chunk), memo)
         self.token = [b""] * (max(ranks.values()) + 1)
         for t, i in ranks.items():
             self.token[i] = t
@@ -220,7 +222,7 @@ class Codec:
         out: list[int] = []
         for piece in self.pieces(chunk):
             out += self.machine.encode(piece.encode())
-        return np.array(out, "<u4").tobytes()
+        return array("I", out).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -229,10 +231,9 @@ class Codec:
             first, *rest = self.gap.split(text)
         else:
             first, *rest = text.split(" ")
-        memo = self.memo
         if len(text) > 4_000_000:  # one chunk may be the whole text: keep it out of the memo
             return self._chunk(first) + b"".join([self._chunk(" " + c) for c in rest])
-        return memo[first] + b"".join([memo[" " + c] for c in rest])
+        return self.first[first] + b"".join(map(self.memo.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -268,7 +269,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
             for a in range(0, len(batch), 512):
-                ids = [codec.encode(t) for t in text[a : a + 512].to_pylist()]
+                with uncollected():
+                    ids = [codec.encode(t) for t in text[a : a + 512].to_pylist()]
                 part = batch.slice(a, 512)
                 arrays = [*part.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                           pa.array([codec.decode(x) for x in ids], pa.binary())]
@@ -291,11 +293,11 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             n, ids_hash, text_hash = [], [], []
             texts = batch.column(1)
             for a in range(0, len(batch), 512):
-                for t in texts[a : a + 512].to_pylist():
-                    ids = codec.encode(t)
-                    n.append(len(ids) // 4)
-                    ids_hash.append(hashlib.sha256(ids).hexdigest())
-                    text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                with uncollected():
+                    coded = [codec.encode(t) for t in texts[a : a + 512].to_pylist()]
+                    n += [len(ids) // 4 for ids in coded]
+                    ids_hash += [hashlib.sha256(ids).hexdigest() for ids in coded]
+                    text_hash += [hashlib.sha256(codec.decode(ids)).hexdigest() for ids in coded]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], schema=schema
             )
