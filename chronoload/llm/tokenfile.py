@@ -45,7 +45,7 @@ SAMPLE = 512
 DICTIONARY_BYTES = 64 << 10
 DOCS_PER_SHARD = 1 << 14
 LEVEL = 3
-_MEMO = 350_000
+_MEMO = 600_000
 #: Stands between words encoded in one call; a word that holds it is encoded alone.
 _BETWEEN = "\x01"
 #: str.split() cuts at these, the tokenizer does not: texts with one of them go to the library as they are.
