@@ -26,8 +26,11 @@ def ols_trend(
 def _shift(df, trend, value, start, series_cols, ts_col, step_seconds, sign):
     t = steps_since(ts_col, start, step_seconds).cast("double")
     line = F.col("slope") * t + F.col("intercept")
-    joined = join_on(df, trend.select(*series_cols, "slope", "intercept"), series_cols, "left")
-    return joined.withColumn(value, F.col(value) + F.lit(float(sign)) * line).select(*[F.col(f"`{c}`") for c in df.columns])
+    marked = trend.select(*series_cols, "slope", "intercept", F.lit(True).alias("_has_trend"))
+    joined = join_on(df, marked, series_cols, "left")
+    moved = F.when(F.col("_has_trend"), F.col(value) + F.lit(float(sign)) * line).otherwise(
+        F.raise_error(F.lit("a series has no row in the trend table")))
+    return joined.withColumn(value, moved).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def remove_trend(df, trend, value, start, series_cols=(), ts_col="timestamp", step_seconds=3600) -> DataFrame:

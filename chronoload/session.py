@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -58,6 +59,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/chronoload/{name}-{uuid.uuid4().hex}"
 
 
+def is_missing(error: Exception) -> bool:
+    """Does an analysis error say that a path is not there? Any other error must reach the caller."""
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoload.operators.trend import new_records
-from chronoload.session import prepare
+from chronoload.session import is_missing, prepare
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> str:
@@ -56,6 +56,8 @@ def read_versioned(spark: SparkSession, path: str, version: str, split: str | No
     try:
         df = prepare(spark).read.parquet(f"{path}/feature_version={version}")
     except AnalysisException as missing:
+        if not is_missing(missing):
+            raise
         raise ValueError(f"feature version {version} is not in {path}") from missing
     return df.where(F.col("split") == split).drop("split") if split else df
 
@@ -65,9 +67,12 @@ def upsert_trend(candidate: DataFrame, path: str, key_cols: tuple[str, ...] = ("
     spark = candidate.sparkSession
     try:
         stored = spark.read.schema(candidate.schema).parquet(path)
-        fresh = new_records(stored, candidate, key_cols)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if not is_missing(missing):
+            raise
         fresh = candidate
+    else:
+        fresh = new_records(stored, candidate, key_cols)
     fresh.write.mode("append").parquet(path)
     return spark.read.schema(candidate.schema).parquet(path)
 

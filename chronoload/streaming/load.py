@@ -60,15 +60,17 @@ class _SlotHistory(StatefulProcessor):
         seen = np.array([v for (v,) in self.past.get()], dtype=float) if self.past.exists() else np.zeros(0)
         new = batch[self.value].to_numpy(dtype=float)
         flags = np.zeros(len(batch), dtype="int32")
-        values = np.concatenate([seen, new])
+        there = ~np.isnan(new)  # missing values are flagged 0 and leave no trace in the state, as in the batch rule
+        values = np.concatenate([seen, new[there]])
+        known = len(seen) + np.cumsum(there) - there
         for i, (x, pos) in enumerate(zip(new, batch["grid_pos"], strict=True)):
-            before = values[: len(seen) + i]
-            if pos < self.min_samples or not len(before):
+            before = values[: known[i]]
+            if not there[i] or pos < self.min_samples or not len(before):
                 continue
             median = np.median(before)
             sigma = MAD_TO_SIGMA * np.median(np.abs(before - median))
             flags[i] = int(sigma > 0 and abs(x - median) > self.k * sigma)
-        self.past.appendList([(float(x),) for x in new])
+        self.past.appendList([(float(x),) for x in new[there]])
         yield batch.assign(**{self.out: flags})[[*self.columns, self.out]]
 
     def close(self) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoload.operators.blocks import block_scan
+from chronoload.session import is_missing
 
 RUN_SCHEMA = (
     "run_id string, parent_id string, experiment string, model string, level string, run_number int, trial int, "
@@ -43,7 +44,9 @@ def append_runs(spark: SparkSession, path: str, records: Sequence[dict]) -> None
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(RUN_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if not is_missing(missing):
+            raise
         return spark.createDataFrame([], RUN_SCHEMA)
 
 
