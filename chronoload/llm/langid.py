@@ -35,7 +35,7 @@ LEXICON = 1 << 18
 SAMPLE = 80
 STEPS = 40
 HOLD = (4, 2)
-MIN_SCORE = 0.4
+MIN_SCORE = 0.3
 UNKNOWN = "und"
 _MEMO = 200_000
 _GROUP = 400_000
