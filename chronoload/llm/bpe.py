@@ -1,11 +1,12 @@
 """Byte-level BPE: encoding by a lazily determinised transducer, streaming decoding by a UTF-8 state machine.
 
 A token sequence is what the merges give if and only if each neighbouring pair of tokens is what the merges give for
-the pair's bytes. So for each place of a text one token is the last token of the encoding up to there, and reading a
-byte moves a finite set of hypotheses: (bytes of the token under way, tokens decided before it). ``Transducer`` keeps
-such sets as states, makes a transition the first time it is needed, and emits a token as soon as all hypotheses
-agree on it, which is at most the longest token's length later. States are forgotten when ``max_states`` is reached;
-they are then made again, so memory is bounded and results are not touched.
+the pair's bytes. So for each place of a text one token is the last token of the encoding up to there. The
+transducer guesses at every place that a token begins; a state of ``Transducer`` is the set of the tokens that may be
+under way, made with its transitions the first time it is needed. A state knows the tokens that may end in it; the
+one that fits the token before it is kept in a register of the place. A token is emitted once the registers of all
+places where a token under way may have begun lead back to it. Such places lie at most the longest token's length
+back. There are never more states than the tokens have prefixes, so memory is bounded by the vocabulary.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows are encoded each; texts of any
 length are read whole; an empty table gives an empty result; other columns are carried by ``encode_documents`` unless
@@ -30,8 +31,11 @@ from pyspark.sql import functions as F
 from chronoload.llm.common import Cache, keyed_texts, table, uncollected
 from chronoload.session import prepare
 
-MAX_STATES = 200_000
 MEMO = 400_000
+#: Pairs of tokens whose fit is remembered.
+FITS = 600_000
+#: Bytes of a piece between two emissions.
+STRIDE = 1024
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,13 +44,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Bytes in, token ids out: a state and a byte give the next state and the ids that became certain.
+    """Bytes in, token ids out: a state and a byte give the next state and the tokens that may end in it.
 
-    ``next`` maps ``state << 8 | byte`` to ``number << 1 | emits``; the ids of an emitting move are in ``sure``.
+    A state is the tuple of the trie nodes that a token under way may have reached, longest first. ``next`` maps
+    ``state << 8 | byte`` to a state, ``ending`` a state to the ``(length, token)`` that may end in it.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES) -> None:
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
         self.joined: dict[tuple[int, int], int] = {}  # pair of tokens -> the token they merge into
         self.halves: dict[int, tuple[int, int]] = {}  # token -> the pair its last merge joined
         for token, i in ranks.items():
@@ -54,32 +59,30 @@ class Transducer:
                 pair = self._merge(token, stop=2)
                 if len(pair) == 2 and ranks.get(token) == i:
                     self.halves[i] = pair
-        reachable = {ranks[t] for t in ranks if len(t) == 1} | self.halves.keys()
+        self.size = {ranks[t]: 1 for t in ranks if len(t) == 1}  # the tokens that merges lead to
         for i, pair in self.halves.items():
             self.joined[pair] = i
+        self.size.update((i, len(token)) for token, i in ranks.items() if i in self.halves)
+        self.longest = max(self.size.values())
         self.child: list[dict[int, int]] = [{}]  # trie of the tokens' bytes
-        self.ends: list[int] = [-1]
+        self.ends: list[tuple[int, int] | None] = [None]
         for token, i in ranks.items():
-            if i not in reachable:
-                continue  # no merge leads to it
+            if i not in self.size:
+                continue
             node = 0
             for byte in token:
                 to = self.child[node].get(byte)
                 if to is None:
                     to = self.child[node][byte] = len(self.child)
                     self.child.append({})
-                    self.ends.append(-1)
+                    self.ends.append(None)
                 node = to
-            self.ends[node] = i
+            self.ends[node] = (len(token), i)
         self.fits: dict[int, bool] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        start = (-1, ((0, ()),))
-        self.states: list = [start]
-        self.number = {start: 0}
+        self.states: list[tuple[int, ...]] = [(0,)]
+        self.number = {(0,): 0}
         self.next: dict[int, int] = {}
-        self.sure: dict[int, tuple[int, ...]] = {}
+        self.ending: list[tuple[tuple[int, int], ...]] = [()]
 
     def _merge(self, piece: bytes, stop: int = 1) -> tuple[int, ...]:
         """The merges applied one by one, lowest rank first, until ``stop`` parts are left or none applies."""
@@ -109,72 +112,78 @@ class Transducer:
                 bound, right = right + 1, b[0]
 
     def _move(self, state: int, byte: int) -> int:
-        last, hypotheses = self.states[state >> 1]
-        own, done, ends, child = [], None, self.ends, self.child
-        for node, decided in hypotheses:
-            to = child[node].get(byte)
-            if to is None:
-                continue
-            own.append((to, decided))
-            if done is None and ends[to] >= 0:
-                token = ends[to]
-                before = decided[-1] if decided else last
-                if before >= 0:
-                    key = before << 24 | token
-                    good = self.fits.get(key)
-                    if good is None:
-                        good = self.fits[key] = self._pair(before, token)
-                    if not good:
-                        continue
-                done = (*decided, token)
-        own.append((0, done))
-        sure = len(own[0][1])
-        for _, d in own:
-            sure = min(sure, len(d))
-            while sure and d[:sure] != done[:sure]:
-                sure -= 1
-            if not sure:
-                break
-        if sure:
-            out = done[:sure]
-            whole = (out[-1], tuple([(g, d[sure:]) for g, d in own]))
-        else:
-            whole = (last, tuple(own))
-        number = self.number.get(whole)
+        """Makes a transition: every token under way goes on with the byte or falls out, and a new one may begin."""
+        child = self.child
+        own = (*[to for n in self.states[state] if (to := child[n].get(byte)) is not None], 0)
+        number = self.number.get(own)
         if number is None:
-            number = self.number[whole] = len(self.states)
-            self.states.append(whole)
-        key = (state >> 1) << 8 | byte
-        if sure:
-            self.sure[key] = out
-        to = self.next[key] = number << 1 | (sure > 0)
-        return to
+            number = self.number[own] = len(self.states)
+            self.states.append(own)
+            self.ending.append(tuple([e for n in own if (e := self.ends[n]) is not None]))
+        self.next[state << 8 | byte] = number
+        return number
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states:
-            self._reset()
-        if len(self.fits) > 400_000:
+        if len(self.fits) > FITS:
             self.fits.clear()
-        state, out, moves, sure = 0, [], self.next, self.sure
-        for byte in piece:
-            key = (state >> 1) << 8 | byte
-            to = moves.get(key)
-            if to is None:
-                if len(self.states) > 2 * self.max_states:  # a very long piece: the same state in a new machine
-                    here = self.states[state >> 1]
-                    self._reset()
-                    moves, sure = self.next, self.sure
-                    self.states.append(here)
-                    self.number[here] = 1
-                    state, key = 2, 1 << 8 | byte
-                to = self._move(state, byte)
-            state = to
-            if to & 1:
-                out += sure[key]
-        return out + list(self.states[state >> 1][1][-1][1])
+        out: list[int] = []
+        state, last = 0, [-1]  # last[j]: the last token of the encoding up to place j
+        for start in range(0, len(piece), STRIDE):
+            state = self._read(state, piece[start : start + STRIDE], last)
+            if start + STRIDE < len(piece):
+                out += self._emit(last)
+        return out + self._back(last, len(last) - 1)
+
+    def _read(self, state: int, part: bytes, last: list[int]) -> int:
+        moves, ending, fits = self.next, self.ending, self.fits
+        at = len(last)
+        for byte in part:
+            to = moves.get(state << 8 | byte)
+            state = self._move(state, byte) if to is None else to
+            for length, token in ending[state]:
+                before = last[at - length]
+                if before < 0:
+                    break
+                key = before << 24 | token
+                good = fits.get(key)
+                if good is None:
+                    good = fits[key] = self._pair(before, token)
+                if good:
+                    break
+            last.append(token)
+            at += 1
+        return state
+
+    def _back(self, last: list[int], at: int) -> list[int]:
+        """The tokens up to a place, read off the registers from its end."""
+        out, size = [], self.size
+        while at > 0:
+            token = last[at]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
+        return out
+
+    def _emit(self, last: list[int]) -> list[int]:
+        """The tokens that all places where a token may begin agree on; their registers are then given up.
+
+        The last place stands for the first token after them: ``last[0]`` is what the next pair is tested against.
+        """
+        end, size = len(last) - 1, self.size
+        ways = set(range(max(0, end - self.longest), end + 1))
+        while len(ways) > 1:
+            far = max(ways)
+            ways.remove(far)
+            ways.add(far - size[last[far]])
+        sure = ways.pop()
+        if sure <= 0:
+            return []
+        out = self._back(last, sure)
+        del last[:sure]
+        return out
 
 
 #: Bytes that can follow a lead byte of UTF-8: classes 00-7F, 80-BF, C2-DF, E0-EF, F0-F4 and the rest.

@@ -143,7 +143,7 @@ def test_decontamination(spark, docs, none, benchmark, block_bytes):
     assert best == {("1", 12), ("10", 12), ("5", 11)}
 
 
-def test_byte_bpe(spark, docs, none):
+def test_byte_bpe(spark, docs, none, monkeypatch):
     import tiktoken
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -155,7 +155,8 @@ def test_byte_bpe(spark, docs, none):
         assert tuple(rows[i])[1:] == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
     assert bpe.digests(none, path, public_tokenizers.PATTERN).collect() == []
     codec = bpe.Codec(ranks, public_tokenizers.PATTERN, memo=50)
-    codec.machine.max_states = 40
+    monkeypatch.setattr(bpe, "FITS", 40)
+    monkeypatch.setattr(bpe, "STRIDE", 7)
     rng = np.random.default_rng(3)
     letters = list(" \n\tabcdeTHEing'st.,!0123éü　\x1c​漢😀")
     for _ in range(3000):
@@ -163,6 +164,9 @@ def test_byte_bpe(spark, docs, none):
         ids = truth.encode_ordinary(text)
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == ids
         assert "".join(codec.stream(ids)) == text
+    for alphabet in ("the", "aé", "=", "abcdefghijklmnop"):  # one piece, emitted in parts
+        text = "".join(rng.choice(list(alphabet), 5000))
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == truth.encode_ordinary(text)
     state = bpe.Utf8Stream()
     assert state.feed("é".encode()[:1]) == "" and state.feed("é".encode()[1:]) == "é"
     assert state.feed(b"\xff\xe2\x82") == "�" and state.close() == "�"
