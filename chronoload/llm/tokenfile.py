@@ -48,8 +48,11 @@ LEVEL = 3
 _MEMO = 600_000
 #: Stands between words encoded in one call; a word that holds it is encoded alone.
 _BETWEEN = "\x01"
+#: Letters that normalisation only lower-cases, and signs that the pre-tokeniser cuts off.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: The byte-level alphabet writes the bytes 80 to A0 and AD, in order, from U+0122 on.
+_BYTE_LEVEL = {b: 0x122 + k for k, b in enumerate((*range(0x80, 0xA1), 0xAD))}
 #: str.split() cuts at these, the tokenizer does not: texts with one of them go to the library as they are.
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?|)]*)").fullmatch
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -58,6 +61,15 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
 
 
+def _folded(text: str) -> str:
+    """Lower case where Python and the normaliser agree on it: Latin-1 without a special token, whose case counts."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
+
+
 class Encoder:
     """A tokenizers file whose pre-tokeniser never joins what white space parts: words are looked up one by one."""
 
@@ -66,7 +78,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = struct.pack("<I", end)
-        self.memo = Cache(self._word, _MEMO)
+        self.recent: dict[str, bytes] = {}  # words and their ids, in two generations of _MEMO
+        self.older: dict[str, bytes] = {}
         self.signs = Cache(self._word, 10_000)
         (self.between,) = np.frombuffer(self._word(_BETWEEN), "<u4").tolist()
 
@@ -75,43 +88,47 @@ class Encoder:
 
     def _learn(self, fresh: list[str]) -> None:
         """Encodes new words: plain ones by the library's merges, the others in one call of its whole chain."""
-        memo, merges, signs, rest = self.memo, self.tokenizer.model.tokenize, self.signs, []
-        found = []
+        found, merges, signs, rest = self.recent, self.tokenizer.model.tokenize, self.signs, []
         for w in fresh:
             plain = _PLAIN(w)
             if plain is None:
-                rest.append(w)
-            else:
-                tail = plain[2]
-                ids = array("I", [t.id for t in merges(plain[1].lower())]).tobytes()
-                found.append((w, ids + signs[tail] if tail else ids))
+                if _BETWEEN in w:
+                    found[w] = self._word(w)
+                else:
+                    rest.append(w)
+                continue
+            word, tail = plain.groups()
+            word = word.lower()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            ids = array("I", [t.id for t in merges(word)]).tobytes()
+            found[w] = ids + signs[tail] if tail else ids
         if rest:
             ids = np.array(self.tokenizer.encode(f" {_BETWEEN} ".join(rest), add_special_tokens=False).ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.between), len(ids))
             raw, begin = ids.tobytes(), 0
             for w, end in zip(rest, (4 * ends).tolist(), strict=True):
-                found.append((w, raw[begin:end]))
+                found[w] = raw[begin:end]
                 begin = end + 4
-        for w, ids in found:
-            memo.put(w, ids)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of some texts, each with the end id, little-endian."""
-        memo, end = self.memo, self.end
-        words = [t.split() if t and not _SEPARATORS.search(t) else [] for t in texts]
-        known = [list(map(memo.get, own)) for own in words]
-        open_ = [k for k, got in enumerate(known) if None in got]
-        fresh = {w for k in open_ for w, v in zip(words[k], known[k], strict=True) if v is None}
-        told = {w: v for w in fresh if (v := memo.old.get(w)) is not None}
-        odd = {w: self._word(w) for w in fresh if _BETWEEN in w}
-        self._learn([w for w in fresh if w not in told and w not in odd])
-        for w, v in told.items():
-            memo.put(w, v)
-        for k in open_:
-            known[k] = [v if v is not None else odd[w] if w in odd else memo[w] for w, v in zip(words[k], known[k], strict=True)]
+        """The ids of some texts, each with the end id, little-endian. A distinct word is looked up once."""
+        odd = {k for k, t in enumerate(texts) if t and _SEPARATORS.search(t)}
+        words = [_folded(t).split() if t and k not in odd else [] for k, t in enumerate(texts)]
+        distinct = set().union(*words)
+        if len(self.recent) + len(distinct) > _MEMO:
+            self.older, self.recent = self.recent, {}
+        recent, older, fresh = self.recent, self.older, []
+        for w in distinct.difference(recent):
+            ids = older.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                recent[w] = ids
+        self._learn(fresh)
+        look, end = recent.__getitem__, self.end
         return [
-            b"".join(got) + end if not t or not _SEPARATORS.search(t) else self._word(t) + end
-            for t, got in zip(texts, known, strict=True)
+            (self._word(texts[k]) if k in odd else b"".join(map(look, own))) + end for k, own in enumerate(words)
         ]
 
 
