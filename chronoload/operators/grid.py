@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoload.functions.timefns import floor_interval, ts_lit
+from chronoload.operators.keys import join_on
 
 
 def resample(
@@ -41,7 +42,7 @@ def align(
     ts_col: str = "timestamp",
     series: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per series and grid time in [start, end); off-grid rows fall away.
+    """One row per series and grid time in [start, end); off-grid rows fall away. A null key is a series like any other.
 
     Missing values become 0 in ``zero_cols`` and stay null elsewhere. ``series`` may name the series;
     by default they are those in ``agg``.
@@ -49,19 +50,12 @@ def align(
     values = [c for c in agg.columns if c not in (*series_cols, ts_col)]
     if series_cols:
         if series is None:
-            # the same null filter and every value column on both sides keep the two uses of ``agg``
-            # identical, so Spark computes its shuffle once and reuses it
-            for c in (*series_cols, ts_col):
-                agg = agg.where(F.col(c).isNotNull())
-            used = [F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate([*values, ts_col])]
-            series = agg.groupBy(*series_cols).agg(*used).where(
-                " and ".join(f"_n{i} >= 0" for i in range(len(used)))
-            )
+            series = agg.select(*series_cols).distinct()
         grid = series.select(*series_cols, F.explode(_grid_times(start, end, step_seconds)).alias(ts_col))
     else:
         spark = agg.sparkSession
         grid = spark.range(1).select(F.explode(_grid_times(start, end, step_seconds)).alias(ts_col))
-    joined = grid.join(agg, [*series_cols, ts_col], "left")
+    joined = join_on(grid, agg, [*series_cols, ts_col], "left")
     filled = [
         F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(agg.schema[c].dataType)).alias(c) if c in zero_cols else F.col(f"`{c}`")
         for c in values
@@ -141,7 +135,7 @@ def combine(frames: dict[str, DataFrame], periods: int, series_cols: Sequence[st
     parts = list(frames.values())
     out = parts[0]
     for part in parts[1:]:
-        out = out.join(part, [*series_cols, ts_col])
+        out = join_on(out, part, [*series_cols, ts_col])
     if validate:
         require_complete(out, periods, "combined", series_cols, ts_col)
     return out

@@ -59,4 +59,12 @@ def feature_names(model: PipelineModel) -> list[str]:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop(FEATURES)
+    """``df`` with ``prediction``, which is null where a feature is null or NaN: every row comes back."""
+    whole = F.lit(True)
+    for c in feature_names(model):
+        value = quoted(c).cast("double")
+        whole = whole & value.isNotNull() & ~F.isnan(value)
+    rows = df
+    for part in model.stages:
+        rows = (part.copy({part.handleInvalid: "keep"}) if isinstance(part, VectorAssembler) else part).transform(rows)
+    return rows.withColumn("prediction", F.when(whole, F.col("prediction"))).drop(FEATURES)

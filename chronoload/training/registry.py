@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
 # Model names users configure. The three boosted-tree families share MLlib's
@@ -15,10 +17,19 @@ MODELS = {
     "Linear": LinearRegression,
 }
 
+MAX_DEPTH = 30  # MLlib's limit
+
+
+def _depth(x) -> int:
+    if int(x) > MAX_DEPTH:
+        warnings.warn(f"tree depth {x} is beyond MLlib's limit and becomes {MAX_DEPTH}", stacklevel=2)
+    return min(int(x), MAX_DEPTH)
+
+
 # configured parameter -> (MLlib parameter, conversion)
 _TREE = {
-    "max_depth": ("maxDepth", lambda x: min(int(x), 30)),
-    "depth": ("maxDepth", lambda x: min(int(x), 30)),
+    "max_depth": ("maxDepth", _depth),
+    "depth": ("maxDepth", _depth),
     "min_samples_leaf": ("minInstancesPerNode", int),
     "min_child_samples": ("minInstancesPerNode", int),
     "min_data_in_leaf": ("minInstancesPerNode", int),
@@ -66,8 +77,10 @@ def build_model(
     model_name: str, params: dict | None = None, seed: int | None = None, features_col: str = "features",
     label_col: str = "label",
 ):
-    """An unfitted regressor."""
-    accepted, _ = translate(model_name, params or {})
+    """An unfitted regressor; parameters that have no counterpart are named in a warning."""
+    accepted, dropped = translate(model_name, params or {})
+    if dropped:
+        warnings.warn(f"{model_name}: no counterpart for {', '.join(sorted(dropped))}", stacklevel=2)
     model = MODELS[model_name](featuresCol=features_col, labelCol=label_col, predictionCol="prediction", **accepted)
     if seed is not None and model.hasParam("seed"):
         model = model.setSeed(seed)

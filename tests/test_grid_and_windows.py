@@ -50,8 +50,12 @@ def test_align_fills_and_drops_off_grid_rows(spark):
     )
     out = G.align(df, "2024-01-01", "2024-01-01 03:00:00", ["s"], ["load"]).orderBy("s", "timestamp").collect()
     assert [(r.s, r.timestamp.hour, r.load, r.temp) for r in out] == [
+        (None, 0, 1.0, 1.0), (None, 1, 0.0, None), (None, 2, 0.0, None),
         ("a", 0, 1.0, 5.0), ("a", 1, 0.0, None), ("a", 2, 2.0, None), ("b", 0, 0.0, None), ("b", 1, 0.0, None), ("b", 2, 0.0, None),
     ]
+    hours = G.align(df.select("s", "timestamp", "load"), "2024-01-01", "2024-01-01 03:00:00", ["s"])
+    both = G.combine({"x": hours, "y": hours.withColumnRenamed("load", "other")}, 3, ["s"])
+    assert both.columns == ["s", "timestamp", "load", "other"] and both.where("s IS NULL").count() == 3
     alone = G.align(df.where("s = 'a'").drop("s"), "2024-01-01", "2024-01-02", (), ["load"])
     assert alone.count() == 24
 
@@ -104,6 +108,28 @@ def test_history_features_equal_pandas_for_any_block_size(spark, hourly, block):
         np.testing.assert_allclose(got[c].astype(float), want[c], atol=1e-9, err_msg=c)
 
 
+def test_history_does_not_show_block_borders_gaps_or_spikes(spark):
+    times = pd.date_range("2024-01-01", periods=400, freq="h")
+    y = np.tile([0.1, 0.2, 0.3, 0.4], 100)
+    y[20], y[200] = np.nan, 1e17
+    pdf = pd.DataFrame({"timestamp": times, "y": y})
+    gone = [23, 47, 48, 49, 100, 101, 203]
+    df = spark.createDataFrame(pdf.drop(index=gone))
+    whole = pdf.copy()
+    whole.loc[gone, "y"] = np.nan
+    want = plain_history(whole, [1, 24], [], []).drop(index=gone)
+    for w in (3, 24):  # summed window by window
+        want[f"y_rw_{w}_sum"] = [whole.y[i - w : i].to_numpy().sum() if i >= w else np.nan for i in want.index]
+    for block in (24, 51, 1344):
+        got = W.history_features(df, {"y": [1, 24]}, {"y": [3, 24]}, block_rows=block).orderBy("timestamp").toPandas()
+        for c in want.columns[2:]:
+            np.testing.assert_allclose(got[c].astype(float), want[c], rtol=1e-12, err_msg=f"{c} {block}")
+        stats = W.trailing_stats(df, "y", [3], block_rows=block).orderBy("timestamp").toPandas()
+        assert list(stats.y_mean_3.notna()) == [whole.y[max(0, i - 2) : i + 1].count() == 3 for i in want.index]
+        diff = W.seasonal_difference(df.where("NOT isnan(y)"), "y", 24, block_rows=block)
+        assert diff.count() == int(whole.y.diff(24).notna().sum())
+
+
 def test_rolling_needs_its_column(spark, hourly):
     with pytest.raises(ValueError):
         W.rolling_features(hourly[0], {"no": [3]}, "sum", series_cols=["s"])

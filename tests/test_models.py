@@ -300,3 +300,22 @@ def test_features_train_and_forecast_end_to_end(spark, hourly):
     future = fit.with_safe_names(small)
     out = forecast_best(load, future, "energy", "2024-01-20", 4, runs_path, models, "exp", out=new_path(spark, "fc"))
     assert out.count() == 4 and out.where("forecast is null or actual is null").count() == 0
+
+
+def test_predictions_keep_every_row(spark):
+    rows = [(float(i), float(i % 3), 2.0 * i + i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    model = fit.fit_final(df, ["a", "b"], "y", "Linear")
+    holes = df.unionByName(spark.createDataFrame([(None, 1.0, 5.0), (float("nan"), 1.0, 6.0)], df.schema))
+    out = fit.predict(model, holes)
+    assert out.columns == ["a", "b", "y", "prediction"]
+    got = out.collect()
+    assert len(got) == 32 and sorted(r.y for r in got if r.prediction is None) == [5.0, 6.0]
+    assert all(abs(r.prediction - r.y) < 1e-6 for r in got if r.prediction is not None)
+
+
+def test_dropped_parameters_and_depth_are_reported():
+    with pytest.warns(UserWarning, match="no counterpart for gamma_x"):
+        build_model("XGBoost", {"gamma_x": 1})
+    with pytest.warns(UserWarning, match="36"):
+        assert build_model("Random Forest", {"max_depth": 36}).getMaxDepth() == 30
