@@ -562,11 +562,10 @@ _ROUND_HOUR = """CASE WHEN epoch_us(ts) % 3600000000 > 1800000000 OR (epoch_us(t
   THEN date_trunc('hour', ts) + INTERVAL 1 HOUR ELSE date_trunc('hour', ts) END"""
 
 
-@register("d18_active_hours", f"""SELECT CAST(hour(h) AS INTEGER) AS hour, count(*) AS "count", round(count(*) / (any_value(hours) / 24.0::DOUBLE), 3) AS normalised_count FROM (SELECT DISTINCT {_ROUND_HOUR} AS h FROM events WHERE event_type = 'click'),
-  (SELECT floor((epoch(max(ts))::BIGINT - epoch(min(ts))::BIGINT) / 3600.0) AS hours FROM (SELECT date_trunc('second', ts) AS ts FROM events WHERE event_type = 'click')) GROUP BY 1""")
+@register("d18_active_hours", f"""SELECT CAST(hour(h) AS INTEGER) AS hour, count(*) AS "count", round(count(*) / (any_value(hours) / 24.0::DOUBLE), 3) AS normalised_count FROM (SELECT DISTINCT {_ROUND_HOUR} AS h FROM events),
+  (SELECT floor((epoch(max(ts))::BIGINT - epoch(min(ts))::BIGINT) / 3600.0) AS hours FROM (SELECT date_trunc('second', ts) AS ts FROM events)) GROUP BY 1""")
 def d18(spark, sf):
-    df = v.events(spark, sf).where("event_type = 'click'")
-    return P.active_hours(df, timefns.round_hour("ts"))
+    return P.active_hours(v.events(spark, sf), timefns.round_hour("ts"))
 
 
 @register("d19_zero_share", with_views("load_hourly", f"SELECT event_type, {q('100.0 * avg(CAST(load = 0 AS INTEGER))', 'zero_pct')} FROM load_hourly GROUP BY 1"))

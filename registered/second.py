@@ -78,16 +78,18 @@ def e4(spark, sf):
     return v.r(S.expanding_mean(df, "x"), 2)
 
 
-_TEMP_GRID = """means AS (SELECT h.timestamp, t.temp FROM hours h LEFT JOIN (SELECT starttime, avg(temp) AS temp FROM temps WHERE station = 0 GROUP BY 1) t ON t.starttime = h.timestamp)"""
+_TEMP_GRID = """means AS (SELECT s.station, h.timestamp, t.temp FROM (SELECT DISTINCT station FROM temps) s CROSS JOIN hours h
+  LEFT JOIN (SELECT station, starttime, avg(temp) AS temp FROM temps GROUP BY 1, 2) t ON t.station IS NOT DISTINCT FROM s.station AND t.starttime = h.timestamp)"""
 
 
 def _temp_grid(spark, sf):
-    return G.align(G.resample(v.temps(spark, sf).where("station = 0"), "starttime", [F.avg("temp").alias("temp")]), START, END)
+    means = G.resample(v.temps(spark, sf), "starttime", [F.avg("temp").alias("temp")], ["station"])
+    return G.align(means, START, END, ["station"])
 
 
-@register("e5_forward_fill", with_views("temps hours", f"""{_TEMP_GRID} SELECT timestamp, {q('temp')}, {q('last_value(temp IGNORE NULLS) OVER (ORDER BY timestamp ROWS UNBOUNDED PRECEDING)', 'filled')} FROM means"""))
+@register("e5_forward_fill", with_views("temps hours", f"""{_TEMP_GRID} SELECT station, timestamp, {q('temp')}, {q('last_value(temp IGNORE NULLS) OVER (PARTITION BY station ORDER BY timestamp ROWS UNBOUNDED PRECEDING)', 'filled')} FROM means"""))
 def e5(spark, sf):
-    return v.r(S.forward_fill(_temp_grid(spark, sf), "temp", out="filled"))
+    return v.r(S.forward_fill(_temp_grid(spark, sf), "temp", ["station"], out="filled"))
 
 
 SLOTS_SQL = "CAST(hour(timestamp) AS INTEGER) AS hour, CAST(isodow(timestamp) - 1 AS INTEGER) AS weekday"
