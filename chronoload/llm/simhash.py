@@ -4,8 +4,8 @@ A document's fingerprint is the bitwise majority of its shingles' XXH64 values.
 tiles by the population counts of their ``SEGMENTS`` 16-bit segments. Two fingerprints whose population counts differ
 by more than the radius in sum over the segments differ in more bits than the radius, so that pair of tiles is never
 built; the other pairs of tiles are compared exactly, with numpy's exclusive-or and bit counts. A tile of more than
-``TILE`` fingerprints is split by hash, and what visits it is sent to every part: no task holds more than a part
-and a block of visitors. Each tile gives a spanning forest of its links, and components are joined by stars.
+``TILE`` fingerprints is split by hash, what visits it is sent to every part, and each part visits the later ones: no
+task holds more than a part and a block of visitors. Each tile gives a spanning forest of its links, and components are joined by stars.
 
 Defined results: null, empty and word-less texts have fingerprint zero and link like any other; texts of one or two
 words are one shingle; repeated rows share a fingerprint and a component; a null doc_id is never the least of a
@@ -183,14 +183,21 @@ def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
         inside = inside & (F.col(f"s{i}") + F.col(f"o.d{i}")).between(0, 16)
     there = own.withColumn("o", F.explode(moves)).where(inside)
     guests = there.select("fp", _code([F.col(f"s{i}") + F.col(f"o.d{i}") for i in range(SEGMENTS)]).alias("cell"))
+    k = F.coalesce("k", F.lit(1))
     homes = own.select("fp", "cell").join(parts, F.col("cell") == F.col("c"), "left").select(
-        (F.col("cell").cast("long") * (1 << 32) + F.pmod(F.xxhash64("fp"), F.coalesce("k", F.lit(1)))).alias("tile"),
-        F.lit(False).alias("visits"), "fp")
+        "cell", k.alias("k"), F.pmod(F.xxhash64("fp"), k).cast("int").alias("p"), "fp")
     guests = guests.join(parts, F.col("cell") == F.col("c"), "left").select(
-        F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1)).alias("p"), "cell", "fp")
-    guests = guests.select(
-        (F.col("cell").cast("long") * (1 << 32) + F.col("p")).alias("tile"), F.lit(True).alias("visits"), "fp")
-    rows = homes.unionByName(guests).repartition("tile").sortWithinPartitions("tile", "visits", "fp")
+        "cell", F.explode(F.sequence(F.lit(0), k - 1)).alias("p"), "fp")
+    # The moves leave the own cell out: the parts of a split cell meet each other here, each two of them once.
+    fellows = homes.where(F.col("p") < F.col("k") - 1).select(
+        "cell", F.explode(F.sequence(F.col("p") + 1, F.col("k") - 1)).alias("p"), "fp")
+
+    def placed(rows: DataFrame, visits: bool) -> DataFrame:
+        return rows.select((F.col("cell").cast("long") * (1 << 32) + F.col("p")).alias("tile"),
+                           F.lit(visits).alias("visits"), "fp")
+
+    rows = placed(homes, False).unionByName(placed(guests.unionByName(fellows), True))
+    rows = rows.repartition("tile").sortWithinPartitions("tile", "visits", "fp")
     return rows.mapInArrow(_compare(radius), "a long, b long")
 
 
