@@ -1,27 +1,29 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms that give it away.
 
 Built from DataFrame functions alone. The base patterns find e-mail addresses, IP numbers, cards and phones; each value
-found is a protected entity. A term is a word of three letters or more that stands within ``REACH`` characters of an
-entity. Over all documents, with N documents, n(c) and n(t) of them holding entity c and term t, and n(c, t) holding t
-near c, the term discloses
+found is a protected entity. A term is a word of three letters or more that stands in a document with an entity,
+wherever. Over all documents, with N documents, n(c) and n(t) of them holding entity c and term t, and n(c, t) holding
+both, the term discloses
 
     PMI(c; t) = log2(N * n(c, t) / (n(c) * n(t)))   of the   IC(c) = log2(N / n(c))
 
-bits that the entity is worth. In the documents where it stands near c, a term seen there in ``SUPPORT`` documents or
-more is removed if it discloses ``REMOVE`` of IC(c) or more, and generalised if it discloses ``GENERALISE`` of it.
+bits that the entity is worth. In the documents that hold c, every place of a term that shares ``SUPPORT`` documents or
+more with it is removed if the term discloses ``REMOVE`` of IC(c) or more, and generalised if it discloses ``GENERALISE``
+of it. What stands in a base span is no term.
 
 Terms are counted in each document, then summed before they are shuffled, so a word of a third of all documents is one row
-a task. Contexts are cut from the gaps between matches, so a document of many matches costs what it is long.
+a task. Terms and entities of a document meet by its row, after those are left out that can reach neither the support
+nor, as n(c, t) is n(c) at most, the least share: n(t) <= N^(1 - share) * n(c)^share. Nothing that could count is lost.
 
 Patterns start only where a match can start and never give back what they took, which finds the same matches as the
 plain patterns in time linear in the text. Defined results: a null or empty text has no span; matches that fail their
-test are dropped without another try; equal spans of repeated rows are found in each; terms that overlap a base span are
-not reported; an empty table gives an empty result; other columns are carried by ``sanitise`` and ignored by the rest.
+test are dropped without another try; equal spans of repeated rows are found in each; words that touch a base span are
+no terms; an empty table gives an empty result; other columns are carried by ``sanitise`` and ignored by the rest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoload.llm.common import keyed_texts, table
@@ -35,7 +37,6 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-REACH = 64
 SUPPORT = 3
 REMOVE = 0.9
 GENERALISE = 0.75
@@ -76,11 +77,11 @@ def _may(kind: str, text: Column) -> Column:
     return F.contains(text, F.lit("+")) if kind == "phone" else text.rlike("[0-9]")
 
 
-_SPAN = "struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>"
+_SPAN = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
 
 def _spans(text: Column, kind: str) -> Column:
-    """All matches of a kind with their places in code points and the text next to them."""
+    """All matches of a kind with their places in code points."""
     number = KINDS.index(kind)
     pattern = F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(text, pattern, F.lit(0))
@@ -92,56 +93,56 @@ def _spans(text: Column, kind: str) -> Column:
         start = state["at"]
         end = start + F.char_length(x["v"])
         span = F.struct(
-            start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), x["v"].alias("value"),
-            state["gap"].alias("before"), F.left(x["g"], F.lit(REACH + 1)).alias("after"))
+            start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), x["v"].alias("value"))
         keep = _good(kind, x["v"])
         return F.struct(
-            (end + F.char_length(x["g"])).alias("at"), F.right(x["g"], F.lit(REACH + 1)).alias("gap"),
+            (end + F.char_length(x["g"])).alias("at"),
             F.when(keep, F.concat(state["out"], F.array(span).cast(f"array<{_SPAN}>"))).otherwise(state["out"]).alias("out"))
 
     first = F.element_at(gaps, 1)
-    state = F.struct(F.char_length(first).cast("bigint").alias("at"), F.right(first, F.lit(REACH + 1)).alias("gap"),
-                     empty.alias("out"))
+    state = F.struct(F.char_length(first).cast("bigint").alias("at"), empty.alias("out"))
     return F.when(_may(kind, text), F.aggregate(parts, state, step, lambda s: s["out"])).otherwise(empty)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``_row, doc_id, base``: the base spans of every document, by start and kind, with their surroundings."""
+    """``_row, doc_id, base, bare``: the base spans of every document, by start and kind; where there are any, the text
+    with a 0 for each of their characters, which leaves places as they are and joins no words."""
     rows = keyed_texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    return rows.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id",
+    found = rows.select(
+        F.monotonically_increasing_id().alias("_row"), "doc_id", "text",
         F.array_sort(F.concat(*[_spans(F.col("text"), k) for k in KINDS])).alias("base"))
 
+    def step(state, s):
+        begin, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        piece = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (begin - state["at"]).cast("int"))
+        return F.struct(end.alias("at"), F.concat(state["out"], piece, F.repeat(F.lit("0"), (end - begin).cast("int"))).alias("out"))
 
-def _words(side: Column, base: Column, cut: str) -> Column:
-    """Words of a context as (term, start, end); ``base`` is where it begins. A word the context cuts is left out."""
-    found = F.regexp_extract_all(side, F.lit(_WORD), F.lit(0))
-    gaps = F.split(side, _WORD, -1)
-    kind = "array<struct<term:string,start:bigint,end:bigint>>"
+    bare = F.aggregate("base", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step,
+                       lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    return found.select("_row", "doc_id", "base", F.when(F.size("base") > 0, bare).alias("bare"))
 
-    def step(state, x):
-        start = state["at"] + F.char_length(x["g"])
-        end = start + F.char_length(x["v"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(
-            F.lower(x["v"]).alias("term"), start.alias("start"), end.alias("end"))).cast(kind)).alias("out"))
 
-    parts = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
-    words = F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind).alias("out")), step,
-                        lambda s: s["out"])
-    whole = F.char_length(side) <= REACH  # the context ends where the gap does: nothing is cut
-    inside = F.filter(words, lambda w: w["start"] > 0 if cut == "left" else w["end"] < F.char_length(side))
-    return F.transform(F.when(whole, words).otherwise(inside), lambda w: F.struct(
-        w["term"].alias("term"), (w["start"] + base).alias("start"), (w["end"] + base).alias("end")))
+def held_entities(found: DataFrame) -> DataFrame:
+    """``_row, entity``: the distinct entities of each document."""
+    names = F.transform("base", lambda s: F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"])))
+    return found.where(F.size("base") > 0).select("_row", F.explode(F.array_distinct(names)).alias("entity"))
 
 
-def near_terms(found: DataFrame) -> DataFrame:
-    """``_row, entity, term, start, end``: the terms next to each entity of each document."""
-    each = found.select("_row", F.explode("base").alias("s")).select(
-        "_row", F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.value")).alias("entity"), "s")
-    left = _words(F.col("s.before"), F.col("s.start") - F.char_length("s.before"), "left")
-    right = _words(F.col("s.after"), F.col("s.end"), "right")
-    return each.select("_row", "entity", F.explode(F.concat(left, right)).alias("w")).select(
-        "_row", "entity", "w.term", "w.start", "w.end")
+def held_terms(found: DataFrame) -> DataFrame:
+    """``_row, term``: the distinct words of each document that holds an entity, outside its base spans."""
+    words = F.transform(F.regexp_extract_all("bare", F.lit(_WORD), F.lit(0)), F.lower)
+    return found.where("bare is not null").select("_row", F.explode(F.array_distinct(words)).alias("term"))
+
+
+def term_places(found: DataFrame) -> DataFrame:
+    """``_row, term, start, end``: every place of the words of ``held_terms``, by running lengths."""
+    words = F.regexp_extract_all("bare", F.lit(_WORD), F.lit(0))
+    pairs = F.zip_with(words, F.slice(F.split("bare", _WORD, -1), 1, F.size(words)),
+                       lambda v, g: F.struct(v.alias("v"), (F.char_length(g) + F.char_length(v)).alias("n")))
+    each = found.where("bare is not null").select("_row", F.posexplode(pairs).alias("k", "x"))
+    end = F.sum("x.n").over(Window.partitionBy("_row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    return each.select("_row", F.lower("x.v").alias("term"), end.alias("end"), F.char_length("x.v").alias("n")).select(
+        "_row", "term", (F.col("end") - F.col("n")).alias("start"), "end")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -151,17 +152,26 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return each.where(F.char_length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
 
 
-def disclosures(docs: DataFrame, near: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, share``: how much of the entity's information each supported term discloses, 0 to 1."""
-    total = docs.count()
-    # Documents come in once an entity: what a document repeats is counted once.
-    pairs = near.select("_row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    often = pairs.where(F.col("n_both") >= support)
-    entities = near.select("_row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    bits = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    worth = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    return often.join(term_counts(docs), "term").join(entities, "entity").where(worth > 0).select(
-        "entity", "term", (bits / worth).alias("share"))
+def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """``entity, term, share``: how much of the entity's information each supported term discloses, from ``least`` on."""
+    total = float(docs.count())
+    entities = held_entities(found).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = stage(entities.where((F.col("n_entity") >= support) & (F.col("n_entity") < total)), "pii-entities")
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+
+    def limit(n):  # of n(t), for a share of ``least``; a little more for rounding
+        return F.pow(F.lit(total), F.lit(1 - least)) * F.pow(n, F.lit(least)) * 1.000001
+
+    terms = term_counts(docs).where((F.col("n_term") >= support) & (F.col("n_term") <= limit(F.lit(float(most)))))
+    holds = held_entities(found).join(entities, "entity")
+    words = held_terms(found.join(holds.select("_row").distinct(), "_row", "left_semi")).join(stage(terms, "pii-terms"), "term")
+    both = holds.join(words, "_row").where(F.col("n_term") <= limit(F.col("n_entity").cast("double")))
+    # A document comes in once a pair: what it repeats is counted once.
+    pairs = both.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
+    bits = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    worth = F.log2(F.lit(total) / F.col("n_entity"))
+    return pairs.where(F.col("n_both") >= support).select(
+        "entity", "term", (bits / worth).alias("share")).where(F.col("share") >= least)
 
 
 def find_personal_data(
@@ -170,15 +180,15 @@ def find_personal_data(
     """``_row, doc_id, base, terms``: base spans, and spans of disclosing terms as (start, kind, end, remove)."""
     prepare(docs.sparkSession)
     found = stage(base_spans(docs), "pii-base")
-    near = stage(near_terms(found), "pii-near")
-    shares = stage(disclosures(docs, near, support).where(F.col("share") >= generalise), "pii-disclosures")
-    told = near.join(shares, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max("share").alias("share"))
+    shares = stage(disclosures(docs, found, support, generalise), "pii-disclosures")
+    told = held_entities(found).join(shares, "entity").groupBy("_row", "term").agg(F.max("share").alias("share"))
+    told = stage(told, "pii-told")
+    places = term_places(found.join(told.select("_row").distinct(), "_row", "left_semi"))
+    told = places.join(told, ["_row", "term"])
     told = told.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
         "start", F.lit(len(KINDS)).alias("kind"), "end", (F.col("share") >= remove).alias("remove")))).alias("told"))
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,remove:boolean>>")
-    free = F.filter(F.coalesce("told", empty), lambda t: ~F.exists(
-        F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return found.join(told, "_row", "left").select("_row", "doc_id", "base", free.alias("terms"))
+    return found.join(told, "_row", "left").select("_row", "doc_id", "base", F.coalesce("told", empty).alias("terms"))
 
 
 def _listed(spans: Column) -> Column:

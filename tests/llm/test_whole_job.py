@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from chronoload.llm import simhash
+from chronoload.llm import pii, simhash
 
 
 def test_simhash_parts_of_a_split_tile_meet(spark):
@@ -25,3 +25,37 @@ def test_simhash_parts_of_a_split_tile_meet(spark):
     for tile in (8192, 4):
         links = {frozenset((r.a, r.b)) for r in simhash.near_links(prints, tile=tile).collect()}
         assert {frozenset(map(int, p)) for p in x} <= links
+
+
+def test_personal_data_far_from_the_entity(spark):
+    filler = " ".join(f"w{k}" for k in range(60))  # no terms: letters with a digit
+    told = [(k, f"Zorkmid {filler} order 12, amy@corp.example, 4111 1111 1111 1111 {filler} zorkmid\u00a0x") for k in range(4)]
+    told += [(k, f"please write about the item {k}") for k in range(4, 40)]
+    told += [(40, "zorkmids corp")]
+    docs = spark.createDataFrame(told, "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in pii.personal_data_report(docs).collect()}
+    terms = [told[0][1][int(a):int(b)] for kind, a, b in (s.split(":") for s in rows[0].split(",")) if kind == "term"]
+    assert terms == ["Zorkmid", "order", "zorkmid"] and rows[40] == "" and rows[9] == ""
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "orkmid" not in clean[0] and "[email], [card]" in clean[0] and clean[9] == told[9][1]
+    # against all pairs
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(120):
+        who = rng.choice(6, int(rng.integers(0, 3)), replace=False).tolist()
+        words = [f"name{'abcdef'[w]}" for w in who if rng.random() < 0.9] + [f"word{'abcdefgh'[int(w)]}" for w in rng.integers(0, 8, 5)]
+        texts.append((who, words, " ".join([*words[::-1], *[f"user{w}@site.example" for w in who], filler, *words])))
+    want = {}
+    for c in range(6):
+        own = [set(w) for who, w, _ in texts if c in who]
+        for t in set().union(*own):
+            both, n_t = sum(t in w for w in own), sum(t in w for _, w, _ in texts)
+            share = np.log2(120 * both / (len(own) * n_t)) / np.log2(120 / len(own))
+            if both >= 3 and share >= 0.75:
+                want[c, t] = share
+    docs = spark.createDataFrame([(k, t) for k, (_, _, t) in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in pii.personal_data_report(docs).collect()}
+    assert want
+    for k, (who, words, text) in enumerate(texts):
+        got = sorted(text[int(a):int(b)] for kind, a, b in (s.split(":") for s in rows[k].split(",") if s) if kind == "term")
+        assert got == sorted(t for t in words * 2 if any((c, t) in want for c in who))
