@@ -1,8 +1,8 @@
 """License scan: ordered signature rules behind a keyword prefilter, overlaps settled by priority and containment.
 
 ``RULES`` are over two hundred regular expressions, made from the rows of ``FAMILIES`` (a license's id, its hand-written
-name, tag and address patterns) by ``_rules``, plus the notices of ``NOTICES``. A rule runs on a text only if its
-keyword stands in it. Detections are settled in order of priority (lower first), then length, then place: a detection
+name, tag and address patterns) by ``_rules``, plus the notices of ``NOTICES``. A rule runs on a text only if one of its
+keywords stands in it, white space folded to single spaces; every match holds one of them. Detections are settled in order of priority (lower first), then length, then place: a detection
 whose interval lies inside a kept one is dropped.
 
 The base phrases are found on words, the rules on the lower-cased text as UTF-8 bytes; a detection's place is counted
@@ -31,15 +31,15 @@ PHRASES = {b"cc by": "cc-by", b"general public license": "gpl", b"all rights res
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: str
     priority: int
     score: float
 
 
-# id | keyword of its name | name | tag (as after SPDX-License-Identifier) | address
+# id | keywords of its name, one for each alternative | name | tag (as after SPDX-License-Identifier) | address
 FAMILIES = r"""
-mit | mit | (?:the )?(?:mit|expat) licen[cs]e | mit | opensource\.org/licenses?/mit
+mit | mit, expat | (?:the )?(?:mit|expat) licen[cs]e | mit | opensource\.org/licenses?/mit
 mit-0 | mit | mit no attribution(?: licen[cs]e)? | mit-0 | github\.com/aws/mit-0
 x11 | x11 | x11 licen[cs]e | x11 | xfree86\.org/[\w./]*copyright
 isc | isc | (?:the )?isc licen[cs]e | isc | opensource\.org/licenses?/isc
@@ -71,7 +71,7 @@ busl-1.1 | business | business source licen[cs]e(?:,?\s+(?:version |v\.?\s?)?1\.
 sspl-1.0 | server side | server side public licen[cs]e(?:,?\s+(?:version |v\.?\s?)?1)? | sspl-1\.0 | mongodb\.com/licensing/server-side-public-license
 elastic-2.0 | elastic | elastic licen[cs]e,?\s+(?:version |v\.?\s?)?2(?:\.0)? | elastic-2\.0 | elastic\.co/licensing/elastic-license
 zlib | zlib | zlib(?:/libpng)? licen[cs]e | zlib | zlib\.net/zlib_license
-libpng-2.0 | libpng | (?:png reference library|libpng) licen[cs]e(?:,?\s+version 2)? | libpng-2\.0 | libpng\.org/pub/png/src/libpng-license
+libpng-2.0 | libpng, png reference | (?:png reference library|libpng) licen[cs]e(?:,?\s+version 2)? | libpng-2\.0 | libpng\.org/pub/png/src/libpng-license
 unlicense | unlicen | the unlicen[cs]e | unlicense | unlicense\.org
 wtfpl | what the | do what the f\S+ you want to public licen[cs]e | wtfpl | wtfpl\.net
 cc0-1.0 | cc0 | (?:creative commons )?cc0(?:[- ]1\.0)?(?: universal)? | cc0-1\.0 | creativecommons\.org/publicdomain/zero
@@ -94,7 +94,7 @@ ruby | ruby | ruby licen[cs]e | ruby | ruby-lang\.org/[\w./]*license
 php-3.01 | php | php licen[cs]e,?\s+(?:version |v\.?\s?)?3\.01 | php-3\.01 | php\.net/license/3_01
 postgresql | postgresql | postgresql licen[cs]e | postgresql | opensource\.org/licenses?/postgresql
 openssl | openssl | openssl licen[cs]e | openssl | openssl\.org/source/license
-ncsa | illinois | (?:university of illinois/)?ncsa open source licen[cs]e | ncsa | opensource\.org/licenses?/ncsa
+ncsa | ncsa | (?:university of illinois/)?ncsa open source licen[cs]e | ncsa | opensource\.org/licenses?/ncsa
 ms-pl | microsoft | microsoft public licen[cs]e | ms-pl | opensource\.org/licenses?/ms-pl
 ms-rl | microsoft | microsoft reciprocal licen[cs]e | ms-rl | opensource\.org/licenses?/ms-rl
 eupl-1.2 | european union | european union public licen[cs]e(?:,?\s+(?:version |v\.?\s?)?1\.2)? | eupl-1\.2 | joinup\.ec\.europa\.eu/[\w./]*eupl
@@ -106,7 +106,7 @@ vim | vim | vim licen[cs]e | vim | vimhelp\.org/uganda
 beerware | beer | beer-?ware licen[cs]e | beerware | people\.freebsd\.org/~phk
 """.strip()
 
-# label | keyword | pattern | priority | score
+# label | keywords | pattern | priority | score
 NOTICES = r"""
 mit | permission is hereby granted | permission is hereby granted, free of charge, to any person obtaining a copy | 2 | 0.95
 isc | permission to use | permission to use, copy, modify, and(?:/or)? distribute this software for any purpose | 2 | 0.9
@@ -144,15 +144,16 @@ def _rules() -> list[Rule]:
     out = []
     for row in FAMILIES.splitlines():
         label, keyword, name, tag, address = (x.strip() for x in row.split(" | "))
+        keywords = tuple(keyword.encode().split(b", "))
         out += [
-            Rule(label, b"spdx-", rf"spdx-licen[cs]e-identifier:\s*(?:\(\s*)?{tag}(?![\w.+-])", 0, 1.0),
-            Rule(label, re.match(r"[a-z0-9-]+", address)[0].encode(), rf"(?:https?://)?(?:www\.)?{address}", 1, 0.95),
-            Rule(label, keyword.encode(), rf"(?:licen[cs]ed|released|distributed|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{name}", 3, 0.9),
-            Rule(label, keyword.encode(), rf"\b{name}", 4, 0.8),
+            Rule(label, (b"spdx-",), rf"spdx-licen[cs]e-identifier:\s*(?:\(\s*)?{tag}(?![\w.+-])", 0, 1.0),
+            Rule(label, (re.match(r"[a-z0-9-]+", address)[0].encode(),), rf"(?:https?://)?(?:www\.)?{address}", 1, 0.95),
+            Rule(label, keywords, rf"(?:licen[cs]ed|released|distributed|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{name}", 3, 0.9),
+            Rule(label, keywords, rf"\b{name}", 4, 0.8),
         ]
     for row in NOTICES.splitlines():
         label, keyword, pattern, priority, score = (x.strip() for x in row.split(" | "))
-        out.append(Rule(label, keyword.encode(), pattern, int(priority), float(score)))
+        out.append(Rule(label, tuple(keyword.encode().split(b", ")), pattern, int(priority), float(score)))
     return out
 
 
@@ -160,11 +161,11 @@ RULES = _rules()
 
 
 @lru_cache(maxsize=1)
-def _compiled() -> dict[bytes, list[tuple[int, re.Pattern]]]:
-    by: dict[bytes, list] = {}
+def _compiled() -> dict[tuple[bytes, ...], list[tuple[int, re.Pattern]]]:
+    by: dict[tuple[bytes, ...], list] = {}
     for k, rule in enumerate(RULES):
         spaced = re.sub(r"(?<!\\|\[) (?![^\[]*\])", r"\\s+", rule.pattern)
-        by.setdefault(rule.keyword, []).append((k, re.compile(spaced.encode())))
+        by.setdefault(rule.keywords, []).append((k, re.compile(spaced.encode())))
     return by
 
 
@@ -187,8 +188,9 @@ def settled(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 def detections(text: bytes) -> list[tuple[int, int, int]]:
     """Settled detections of a lower-cased text."""
     found = []
-    for keyword, rules in _compiled().items():
-        if keyword in text:
+    folded = b" ".join(text.split())
+    for keywords, rules in _compiled().items():
+        if any(k in folded for k in keywords):
             for k, pattern in rules:
                 found += [(m.start(), m.end(), k) for m in pattern.finditer(text)]
     return settled(found) if found else []

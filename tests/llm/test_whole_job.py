@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import pytest
 
-from chronoload.llm import pii, simhash
+from chronoload.llm import licenses, pii, simhash
 
 
 def test_simhash_parts_of_a_split_tile_meet(spark):
@@ -59,3 +62,58 @@ def test_personal_data_far_from_the_entity(spark):
     for k, (who, words, text) in enumerate(texts):
         got = sorted(text[int(a):int(b)] for kind, a, b in (s.split(":") for s in rows[k].split(",") if s) if kind == "term")
         assert got == sorted(t for t in words * 2 if any((c, t) in want for c in who))
+
+
+def _examples(parsed, rng):
+    """A text that a parsed pattern matches, of random alternatives."""
+    out = b""
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += bytes([value])
+        elif name == "BRANCH":
+            out += _examples(value[1][rng.integers(len(value[1]))], rng)
+        elif name == "SUBPATTERN":
+            out += _examples(value[-1], rng)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = value
+            for _ in range(int(rng.integers(low, min(int(high), low + 2) + 1))):
+                out += _examples(inner, rng)
+        elif name == "IN":
+            kind, choice = value[rng.integers(len(value))]
+            if str(kind) == "RANGE":
+                out += bytes([int(rng.integers(choice[0], choice[1] + 1))])
+            else:
+                out += bytes([choice]) if str(kind) == "LITERAL" else _category(str(choice), rng)
+        elif name not in ("AT", "ASSERT_NOT"):
+            raise AssertionError(name)
+    return out
+
+
+def _category(name, rng):
+    """White space comes as line ends and in runs, as in wrapped texts."""
+    if name == "CATEGORY_SPACE":
+        return [b" ", b"\n", b"  ", b" \n\t", b"\r\n"][rng.integers(5)]
+    return {"CATEGORY_DIGIT": b"7", "CATEGORY_WORD": b"w", "CATEGORY_NOT_SPACE": b"x"}[name]
+
+
+@pytest.mark.parametrize("text", [
+    "you may not use this\nfile except in compliance with the license", "under the expat license", "ncsa open source license",
+    "png reference  library license", "do what the fuck you want to public license".replace("what the", "what\n the"),
+])
+def test_license_keywords_hold_on_wrapped_texts(text):
+    assert licenses.detections(text.encode())
+
+
+def test_license_keywords_lose_nothing():
+    rng = np.random.default_rng(6)
+    every = [(k, p) for rules in licenses._compiled().values() for k, p in rules]
+    assert len(every) == len(licenses.RULES)
+    matched = set()
+    for k, pattern in every:
+        for _ in range(25):
+            text = b"\n" + _examples(re._parser.parse(pattern.pattern), rng) + b"\n"
+            found = [(m.start(), m.end(), j) for j, p in every for m in p.finditer(text)]
+            matched |= {j for _, _, j in found}
+            assert licenses.detections(text) == licenses.settled(found), text
+    assert matched == set(range(len(licenses.RULES)))
