@@ -11,7 +11,9 @@ documents a language, chosen by the hash of their ids and cut into segments. The
 data: (FEATURES + LEXICON) numbers a language.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; a word is a run between white space,
-stripped of what is no letter and lower-cased, words without letters are passed over; a null doc_id has remainder 0; a
+stripped of what is no letter and lower-cased; one of over ``LONGEST`` characters (text without spaces, joined words) is
+split at what is neither letter nor mark and its longer runs are cut into consecutive pieces of ``LONGEST``, which are all
+words of their own; words without letters are passed over; a null doc_id has remainder 0; a
 null or empty ``lang`` is not learned from; with no training document every text is ``und``; ties go to the language that
 sorts first; repeated rows count each in the lexicon; an empty table gives an empty result; other columns are carried
 by ``keep_identified`` and never read for a prediction.
@@ -19,8 +21,10 @@ by ``keep_identified`` and never read for a prediction.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,7 @@ STEPS = 40
 HOLD = (4, 2)
 MIN_SCORE = 0.3
 UNKNOWN = "und"
+LONGEST = 64
 _MEMO = 200_000
 _GROUP = 400_000
 _SEGMENT = 40
@@ -55,14 +60,28 @@ def stripped(word: str) -> str:
     return word[a:b].lower()
 
 
+def _inner(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
+def pieces(word: str) -> list[str]:
+    """The words that a run between white space counts as: none without a letter, one unless it is too long."""
+    bare = stripped(word)
+    if len(bare) <= LONGEST:
+        return [bare] if bare else []
+    runs = ["".join(own) for inner, own in groupby(bare, _inner) if inner]
+    cut = [run[a : a + LONGEST] for run in runs for a in range(0, len(run), LONGEST)]
+    return [w for w in cut if any(map(str.isalpha, w))]
+
+
 def lexicon_slot(word: str) -> int:
     return zlib.crc32(word.encode()) & (LEXICON - 1)
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all words' features, and the word each belongs to: n-grams of 2 and 3 of ``^word$`` (at its ends they
-    are the affixes of 1 and 2), affixes of 3, and the word itself. Of a word of over 64 characters both ends count."""
-    marked = [f"^{w}$" if len(w) <= 64 else f"^{w[:32]}{w[-32:]}$" for w in words]
+    are the affixes of 1 and 2), affixes of 3, and the word itself."""
+    marked = [f"^{w}$" for w in words]
     size = np.array([len(w) for w in marked])
     code = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     owner = np.repeat(np.arange(len(words)), size)
@@ -194,33 +213,48 @@ class Field:
 
     def _forget(self) -> None:
         self.row: dict[str, int] = {}
+        self.used = 0
+        self.many: list[np.ndarray] = []
         self.emission = np.zeros((1024, len(self.names)), np.float32)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("row", "emission")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("row", "used", "many", "emission")}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
         self._forget()
 
     def _learn(self, fresh: list[str]) -> None:
-        """Emission rows of words not met before; -1 for those without a letter."""
-        bare = [stripped(w) for w in fresh]
-        good = [w for w in bare if w]
-        first = len(self.row) + 1
+        """Emission rows of words not met before; -1 for those without a letter, -2 - k for those with rows ``many[k]``."""
+        own = [pieces(w) for w in fresh]
+        good = [p for ps in own for p in ps]
+        first = self.used
         if good:
             rows = emissions(*features(good), self.weight, len(good))
             rows += self.share * self.odds[[lexicon_slot(w) for w in good]]
-            while len(self.emission) < first + len(good):
+            self.used += len(good)
+            while len(self.emission) < self.used:
                 self.emission = np.concatenate([self.emission, np.zeros_like(self.emission)])
-        k = 0
-        for w, b in zip(fresh, bare, strict=True):
-            if b:
-                self.emission[first + k] = rows[k]
-                self.row[w] = first + k
-                k += 1
+            self.emission[first : self.used] = rows
+        for w, ps in zip(fresh, own, strict=True):
+            if len(ps) > 1:
+                self.row[w] = -2 - len(self.many)
+                self.many.append(np.arange(first, first + len(ps), dtype=np.int32))
             else:
-                self.row[w] = -1
+                self.row[w] = first if ps else -1
+            first += len(ps)
+
+    def _spread(self, codes: np.ndarray) -> np.ndarray:
+        """The codes with those of long words in place of theirs."""
+        long = np.flatnonzero(codes < -1)
+        if not len(long):
+            return codes
+        own = [self.many[-2 - c] for c in codes[long].tolist()]
+        times = np.ones(len(codes), np.int64)
+        times[long] = [len(o) for o in own]
+        out = np.repeat(codes, times)
+        out[out < -1] = np.concatenate(own)
+        return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -237,7 +271,7 @@ class Field:
         return names, scores
 
     def _group(self, texts, group, names, scores) -> None:
-        if len(self.row) > _MEMO:
+        if len(self.row) > _MEMO or self.used > _MEMO:
             self._forget()
         get = self.row.get
         texts_words = [texts[i].split() for i in group]
@@ -246,7 +280,7 @@ class Field:
             self._learn(list(fresh))
         sequences, owner = [], []
         for i, words in zip(group, texts_words, strict=True):
-            codes = np.array(list(map(get, words)), np.int32)
+            codes = self._spread(np.array(list(map(get, words)), np.int32))
             codes = codes[codes >= 0]
             if len(codes):
                 sequences.append(codes)
@@ -290,13 +324,16 @@ def _lexicon(train: DataFrame, names: list[str]) -> np.ndarray:
 
 @lru_cache(maxsize=_MEMO)
 def _slot_of(word: str) -> int:
-    bare = stripped(word)
-    return lexicon_slot(bare) if bare else -1
+    """-1 without a letter, -2 for a word of several pieces."""
+    own = pieces(word)
+    return -2 if len(own) > 1 else lexicon_slot(own[0]) if own else -1
 
 
 def _slots(text: str) -> np.ndarray:
-    slots = np.array(list(map(_slot_of, text.split())), np.int64)
-    return slots[slots >= 0]
+    words = text.split()
+    slots = np.array(list(map(_slot_of, words)), np.int64)
+    long = [lexicon_slot(p) for k in np.flatnonzero(slots == -2).tolist() for p in pieces(words[k])]
+    return np.concatenate([slots[slots >= 0], np.array(long, np.int64)])
 
 
 def train_field(docs: DataFrame, sample: int = SAMPLE, hold: tuple[int, int] = HOLD) -> Field:
@@ -314,7 +351,7 @@ def train_field(docs: DataFrame, sample: int = SAMPLE, hold: tuple[int, int] = H
     picked = train.where(chance < limit[F.col("lang")]).select("text", "lang")
     segments = []
     for r in picked.toLocalIterator():
-        own = [w for w in map(stripped, r.text.split()) if w]
+        own = [p for w in r.text.split() for p in pieces(w)]
         y = names.index(r.lang)
         segments += [(own[a : a + _SEGMENT], y) for a in range(0, len(own), _SEGMENT)]
     if not segments:

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from chronoload.llm import licenses, pii, simhash
+from chronoload.llm import langid, licenses, pii, simhash
 
 
 def test_simhash_parts_of_a_split_tile_meet(spark):
@@ -117,3 +117,26 @@ def test_license_keywords_lose_nothing():
             matched |= {j for _, _, j in found}
             assert licenses.detections(text) == licenses.settled(found), text
     assert matched == set(range(len(licenses.RULES)))
+
+
+def test_language_of_texts_without_spaces(spark):
+    alphabets = {"aa": "abcdefgh", "bb": "stuvwxyz"}
+    rng = np.random.default_rng(2)
+
+    def some(lang, n, size):
+        return ["".join(rng.choice(list(alphabets[lang]), size)) for _ in range(n)]
+
+    rows = [(k, " ".join(some("ab"[k % 2] * 2, 30, 6)), "ab"[k % 2] * 2) for k in range(60)]
+    middle = "".join(some("bb", 1, 9000))
+    rows += [(100, "ab" * 16 + middle + "gh" * 16, None), (101, "abc," + ",".join(some("bb", 300, 6)) + "/def" * 16, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    field = langid.train_field(table)
+    got = {r.doc_id: r for r in langid.predict(table, field).collect()}
+    assert got[100].lang_pred == got[101].lang_pred == "bb" and all(got[i].lang_pred == lang for i, _, lang in rows[:60])
+    # every character of a long run enters, in training too, and a run counts as its pieces do
+    joined = ["x1" + middle + ",," + middle[:70] + "9"]
+    assert "".join(langid.pieces(joined[0])) == "x" + middle + middle[:70]
+    assert max(map(len, langid.pieces(joined[0]))) == 64
+    apart = " ".join(langid.pieces(joined[0]))
+    assert field.predict([f"abc 12 {joined[0]} def", f"abc {apart} def"])[1][0] == field.predict([f"abc {apart} def"])[1][0]
+    assert sorted(langid._slots(joined[0])) == sorted(langid._slots(apart))
