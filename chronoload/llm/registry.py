@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import corpus_pipeline
 from chronoload.llm import (
+    align,
     bpe,
+    chat,
     decontaminate,
     langid,
     licenses,
     linededup,
     pii,
     ppm,
+    resample,
     simhash,
     tokenfile,
     topk,
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_language_id": langid.query,
     "op9_license_scan": licenses.query,
     "op10_top_k": topk.query,
+    "op11_chat_formatting": chat.query,
+    "op12_importance_resampling": resample.query,
+    "op13_tokenizer_alignment": align.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +40,6 @@ SQL = {
     "op2_decontamination": decontaminate.SQL,
     "op7_line_dedup": linededup.SQL,
     "op10_top_k": topk.SQL,
+    "op11_chat_formatting": chat.SQL,
+    "op12_importance_resampling": resample.SQL,
 }
