@@ -37,7 +37,7 @@ from chronoload.llm.bpe import shipped
 from chronoload.llm.common import keyed_texts, table, uncollected
 from chronoload.session import stage
 
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 WORDS_AT_ONCE = 1 << 15
 _NONE = np.empty(0, np.int32)
 SPACE = "▁"
