@@ -12,7 +12,8 @@ from chronoload.operators.quantiles import exact_quantiles, quantile_name
 from chronoload.session import stage
 
 
-def _long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
+def long_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
+    """``(groups…, column, _x)``: one row per value of the columns ``cols``."""
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in cols]
     return df.select(*group_cols, F.explode(F.array(*pairs)).alias("_p")).select(*group_cols, "_p.*")
 
@@ -26,8 +27,12 @@ def mad_bounds(
     median +- threshold * MAD. Otherwise, or with any null in the column: separate deviations of the
     values at or above and below the median. A null bound means no bound.
     """
+    return mad_bounds_of(long_values(df, cols, group_cols), threshold, group_cols)
+
+
+def mad_bounds_of(long: DataFrame, threshold: float = 3.0, group_cols: Sequence[str] = ()) -> DataFrame:
+    """``mad_bounds`` of values in long form, which may come from several tables: all bounds share the passes."""
     keys = [*group_cols, "column"]
-    long = _long(df, cols, group_cols)
     base = exact_quantiles(
         long, "_x", [0.5], keys,
         extras=[
@@ -87,7 +92,7 @@ def bounds_from_log(bounds: DataFrame, prefix: str = "log_") -> DataFrame:
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = 2.0, group_cols: Sequence[str] = ()) -> DataFrame:
     keys = [*group_cols, "column"]
-    q = exact_quantiles(_long(df, cols, group_cols), "_x", [0.25, 0.75], keys)
+    q = exact_quantiles(long_values(df, cols, group_cols), "_x", [0.25, 0.75], keys)
     spread = F.col("q75") - F.col("q25")
     return q.select(
         *keys, (F.col("q25") - factor * spread).alias("min_val"), (F.col("q75") + factor * spread).alias("max_val")
@@ -124,7 +129,7 @@ def outlier_share(
 ) -> DataFrame:
     """Percentage of rows outside the bounds, per column: ``(groups…, column, outlier_pct)``."""
     keys = [*group_cols, "column"]
-    rows = join_on(_long(df, cols, group_cols), bounds.select(*keys, "min_val", "max_val"), keys, "left")
+    rows = join_on(long_values(df, cols, group_cols), bounds.select(*keys, "min_val", "max_val"), keys, "left")
     outside = F.coalesce(
         F.coalesce(F.col("_x") < F.col("min_val"), F.lit(False)) | F.coalesce(F.col("_x") > F.col("max_val"), F.lit(False)),
         F.lit(False),

@@ -19,7 +19,9 @@ from chronoload.functions.arrays import MAD_TO_SIGMA
 from chronoload.functions.timefns import steps_since, ts_lit
 from chronoload.operators.blocks import BLOCK_ROWS, EPOCH, block_scan, block_window, with_halo, without_halo
 from chronoload.operators.keys import join_on
+from chronoload.operators.quantiles import exact_quantiles, quantile_name
 from chronoload.operators.trend import ols_trend, remove_trend
+from chronoload.session import stage
 
 # ------------------------------------------------------------------ autocorrelation
 
@@ -303,12 +305,13 @@ def decompose(
 
 
 def robust_params(df: DataFrame, value: str, series_cols: Sequence[str] = ()) -> DataFrame:
-    """``(series…, median, sigma)`` with sigma = 1.4826 * MAD; a series is bounded by its grid."""
+    """``(series…, median, sigma)`` with sigma = 1.4826 * MAD; both medians are selected, never gathered."""
     keys = list(series_cols)
-    centre = df.groupBy(*keys).agg(F.median(value).alias("median"))
-    spread = join_on(df.select(*keys, value), centre, keys).groupBy(*keys).agg(
-        F.first("median").alias("median"), F.median(F.abs(F.col(value) - F.col("median"))).alias("_mad")
-    )
+    half = quantile_name(0.5)
+    df = stage(df.select(*keys, value), "values")  # read once a round; what comes before is not run again
+    centre = stage(exact_quantiles(df, value, [0.5], keys).select(*keys, F.col(half).alias("median")), "medians")
+    apart = join_on(df, centre, keys).withColumn("_apart", F.abs(F.col(value) - F.col("median")))
+    spread = join_on(centre, exact_quantiles(apart, "_apart", [0.5], keys).withColumnRenamed(half, "_mad"), keys, "left")
     return spread.select(*keys, "median", (F.lit(MAD_TO_SIGMA) * F.col("_mad")).alias("sigma"))
 
 

@@ -477,11 +477,11 @@ def d5(spark, sf):
   UNION ALL SELECT 'sessions', * FROM ({v.mad_sql('sessions', 'energy', 4)}))
   SELECT type, "column", skewed, {q('median')}, {q('min_val')}, {q('max_val')} FROM parts"""))
 def d6(spark, sf):
-    df = v.landed(v.incidents(spark, sf), "incidents").select(
+    incidents = v.incidents(spark, sf).select(
         "type", timefns.minutes_between("starttime", "endtime").alias("duration"), "distance", (F.col("distance") < 5).cast("int").alias("flag"))
-    per_type = B.mad_bounds(df, ["duration", "distance", "flag"], 4, ["type"])
-    energy = B.mad_bounds(v.landed(v.sessions(spark, sf), "sessions"), ["energy"], 4).withColumn("type", F.lit("sessions"))
-    return v.r(per_type.unionByName(energy))
+    sessions = v.sessions(spark, sf).withColumn("type", F.lit("sessions"))
+    values = B.long_values(incidents, ["duration", "distance", "flag"], ["type"]).unionByName(B.long_values(sessions, ["energy"], ["type"]))
+    return v.r(B.mad_bounds_of(stage(values, "values"), 4, ["type"]))
 
 
 _IQR = "quantile_cont(value, 0.75) - quantile_cont(value, 0.25)"

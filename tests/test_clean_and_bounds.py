@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chronoload.operators import bounds as B
 from chronoload.operators import clean as C
+from chronoload.operators import quantiles
 from chronoload.operators.quantiles import exact_quantiles
 
 
@@ -84,6 +86,42 @@ def test_exact_quantiles_without_groups_and_with_nulls(spark):
     assert rows(exact_quantiles(big, "v", [0.0, 0.5, 1.0], accuracy=100)) == [(100_000, 0.0, 49_999.5, 99_999.0)]
 
 
+def test_exact_quantiles_bound_what_a_window_sees(spark):
+    # one group of a million distinct values: the bins of the grid, then the parts of the open brackets
+    v = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_000 + 0.25).alias("_v"))
+    bins = quantiles.grid_counts(v, [], 256)
+    assert bins.count() <= 22 * 16 and bins.agg(F.sum("_c")).first()[0] == 1_000_000
+    widest = bins.orderBy(F.desc("_c")).first()
+    bracket = spark.createDataFrame([([(widest._lo, widest._hi, 5, widest._c)],)], "_open array<struct<lo:double,hi:double,below:long,inside:long>>")
+    parts = quantiles.bracket_counts(v, bracket, [], 256)
+    assert widest._c > 30_000 and parts.count() <= 257 and parts.agg(F.sum("_c")).first()[0] == widest._c
+    got = exact_quantiles(v, "_v", [0.1, 0.5, 0.999], accuracy=256).first()
+    np.testing.assert_allclose(tuple(got)[1:], np.quantile(np.arange(1_000_000) + 0.25, [0.1, 0.5, 0.999]), rtol=1e-15)
+
+
+def test_exact_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    values = [-inf, -1e308, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0 + 2**-50, 2.0, 1e308, inf, inf]
+    df = spark.createDataFrame([(v,) for v in values] * 3, "v double")
+    for accuracy in (2, 16, 4096):
+        got = quantiles._order_statistics(df.selectExpr("v AS _v"), [], [k / 47 for k in range(48)], accuracy)
+        assert [r._value for r in sorted(got.collect(), key=lambda r: r._rank)] == sorted(values * 3)
+    with_nan = df.unionByName(spark.createDataFrame([(float("nan"),)], "v double"))
+    assert math.isnan(exact_quantiles(with_nan, "v", [1.0]).first()[1]) and exact_quantiles(with_nan, "v", [0.5]).first()[1] == 1.0
+
+
+def test_exact_quantiles_of_close_values_in_null_and_hot_groups(spark):
+    rng = np.random.default_rng(11)
+    close = 1e6 + rng.integers(0, 400, 3000) * 2.0**-30  # one bin of the grid, many repeats
+    rows_ = [("hot", float(x)) for x in close] + [(None, float(x)) for x in range(7)] + [("one", 4.0), ("none", None)]
+    df = spark.createDataFrame(rows_, "g string, v double").repartition(5)
+    probs = [0.01, 0.25, 0.5, 0.99]
+    got = {r.g: tuple(r)[1:] for r in exact_quantiles(df, "v", probs, ["g"], accuracy=16, extras=[F.count("*").alias("rows")]).collect()}
+    np.testing.assert_allclose(got["hot"], (3000, 3000, *np.quantile(close, probs)), rtol=1e-15)
+    np.testing.assert_allclose(got[None], (7, 7, *np.quantile(range(7), probs)))
+    assert got["one"] == (1, 1, 4.0, 4.0, 4.0, 4.0) and got["none"] == (1, None, None, None, None, None)
+
+
 # ------------------------------------------------------------------ median-deviation bounds
 
 
