@@ -89,11 +89,9 @@ def holiday_flags(table: DataFrame, names: list[str]) -> DataFrame:
 
 
 def add_holiday_flags(df: DataFrame, table: DataFrame, names: list[str], ts_col: str = "timestamp") -> DataFrame:
-    """0/1 holiday columns by calendar date. The broadcast side has at most 13 rows per year."""
+    """0/1 holiday columns by calendar date. There is no broadcast hint: Catalyst knows the table's size or sort-merges."""
     flags = holiday_flags(table.where(F.col("holiday").isin(names)), names)
-    joined = df.withColumn("_ds", F.to_date(ts_col)).join(
-        F.broadcast(flags.withColumnRenamed("ds", "_ds")), "_ds", "left"
-    )
+    joined = df.withColumn("_ds", F.to_date(ts_col)).join(flags.withColumnRenamed("ds", "_ds"), "_ds", "left")
     return joined.select(
         *[quoted(c) for c in df.columns], *[F.coalesce(quoted(n), F.lit(0)).alias(n) for n in names]
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from chronoload.operators.clean import ints_to_double, test_rows, train_rows
 from chronoload.operators.scores import correlations, residuals
+from chronoload.training.additive import AdditiveModel, additive_search, fit_additive, spec_of
 from chronoload.training.fit import fit_final, predict, safe_names, with_safe_names
 from chronoload.training.importance import permutation_importance
 from chronoload.training.runs import append_runs, best_run, next_run_number, read_runs, run_record
@@ -33,6 +34,8 @@ def train_model(
     key_cols: Sequence[str] = ("timestamp",), repeats: int = 5,
 ) -> Trained:
     """Random search with time-ordered folds; one parent run with the best trial, one child per trial."""
+    if model_name == "Prophet":
+        raise ValueError("train_additive fits the regression on trend, seasons and holidays")
     spark = frame.sparkSession
     names = safe_names(frame.columns)
     features = [names[f] for f in features]
@@ -63,6 +66,41 @@ def train_model(
     )
 
 
+@dataclass
+class TrainedAdditive:
+    run_id: str
+    model: AdditiveModel
+    trials: list[dict]
+    residuals: DataFrame
+
+
+def train_additive(
+    frame: DataFrame, target: str, split_date: str, space: Mapping[str, Sequence], runs_path: str, models_path: str, experiment: str,
+    trials: int = 10, n_splits: int = 4, metric: str = "rmse", seed: int = 42, ts_col: str = "timestamp",
+) -> TrainedAdditive:
+    """As ``train_model`` for the regression on trend, seasons and holidays, which needs the time and the target only.
+
+    The coefficients are stored as a table of (name, value) under the run.
+    """
+    spark = frame.sparkSession
+    train, test = train_rows(frame, split_date, ts_col), test_rows(frame, split_date, ts_col)
+    results = additive_search(train, target, space, trials, n_splits, seed, ts_col)
+    best = best_trial(results, metric)
+    number = next_run_number(read_runs(spark, runs_path), "Prophet", experiment)
+    parent = run_record(
+        experiment, "Prophet", "parent", run_number=number, params=best["params"], metrics={f"best_{metric}": float(best[metric])})
+    children = [
+        run_record(experiment, "Prophet", "child", parent_id=parent["run_id"], trial=t["trial"], params=t["params"],
+                   metrics={"rmse": t["rmse"], "mae": t["mae"]})
+        for t in results
+    ]
+    model = fit_additive(train, target, spec_of(best["params"]), ts_col)
+    cells = [*model.coefficients.items(), ("sigma", model.sigma)]
+    spark.createDataFrame(cells, "name string, value double").write.parquet(f"{models_path}/{parent['run_id']}")
+    append_runs(spark, runs_path, [parent, *children])
+    return TrainedAdditive(parent["run_id"], model, results, residuals(model.predict(test, ts_col), target, "prediction", [ts_col]))
+
+
 def load_best(spark, runs_path: str, models_path: str, experiment: str, metric: str = "rmse") -> tuple[PipelineModel, object]:
     """Model of the best finished run; a tuning run's model is stored under its parent."""
     row = best_run(spark, runs_path, experiment, metric)

@@ -41,6 +41,10 @@ def random_search(
     result does not depend on which trial finishes first; all trials share one cached frame."""
     if metric not in ("rmse", "mae"):
         raise ValueError(f"metric must be rmse or mae, not {metric}")
+    if model_name == "Prophet":  # trend, seasons and holidays follow from the time column alone
+        from chronoload.training.additive import additive_search
+
+        return additive_search(df, target, space, trials, n_splits, seed, ts_col, step_seconds)
     rng = random.Random(seed)
     drawn = [draw(space, rng) for _ in range(trials)]
     rows = assembled(df, features, target, [ts_col]).persist()

@@ -16,7 +16,7 @@ from chronoload.plans import select as SE
 from chronoload.plans import train as TN
 from chronoload.session import new_path, stage
 from chronoload.sources import stages as ST
-from chronoload.training import fit, folds, forecast, importance, search, selection
+from chronoload.training import additive, fit, folds, forecast, importance, search, selection
 from chronoload.training.registry import build_model
 from registered import views as v
 from registered.first import PERIOD, PIECES_SQL, TRIM_SQL, _incident_file, _session_file
@@ -336,13 +336,54 @@ def l2s(spark, sf):
     return v.r(spark.createDataFrame([(k, float(x)) for k, x in scores.items()], "metric string, value double"), 4)
 
 
+_WEIGHTS = [0.0, 0.5, 50.0, 5000.0]
+
+
+def _ridge_sql(i, w):
+    lo, hi = f"TIMESTAMP '{START}' + to_hours({24 + 480 - (3 - i) * 120})", f"TIMESTAMP '{START}' + to_hours({24 + 480 - (2 - i) * 120})"
+    return f"""SELECT {w}::DOUBLE AS w, sqrt(avg(power(load - (my + s * (x - mx)), 2))) AS rmse, avg(abs(load - (my + s * (x - mx)))) AS mae FROM pairs,
+    (SELECT avg(x) AS mx, avg(load) AS my, covar_pop(load, x) / (var_pop(x) + {w}::DOUBLE) AS s FROM pairs WHERE timestamp < {lo}) WHERE timestamp >= {lo} AND timestamp < {hi}"""
+
+
+@register("l3_ridge_search_one_lag", with_views("load_hourly", f"""pairs AS (SELECT * FROM {_LAG24} WHERE x IS NOT NULL AND timestamp < TIMESTAMP '{SPLIT}'),
+  folds AS ({' UNION ALL '.join(_ridge_sql(i, w) for w in _WEIGHTS for i in range(3))})
+  SELECT w AS reg_lambda, {q('avg(rmse)', 'rmse', 4)}, {q('avg(mae)', 'mae', 4)} FROM folds GROUP BY 1"""))
+def l3r(spark, sf):
+    frame = windows.history_features(v.load_hourly(spark, sf), {"load": [24]}, series_cols=KEY)
+    train = C.train_rows(stage(frame.dropna(), "frame"), SPLIT, "timestamp")
+    found = additive.ridge_search(train, ["load_lag_24"], "load", _WEIGHTS, 3)
+    return v.r(spark.createDataFrame([(t["params"]["reg_lambda"], t["rmse"], t["mae"]) for t in found], "reg_lambda double, rmse double, mae double"), 4, ["rmse", "mae"])
+
+
+@register("l3_l16_additive_search")
+def l3a(spark, sf):
+    train = C.train_rows(stage(v.load_hourly(spark, sf), "load"), SPLIT, "timestamp")
+    space = {
+        "growth": ["linear"], "n_changepoints": [2, 20], "changepoint_range": [0.6, 0.95], "seasonality_mode": ["additive", "multiplicative"],
+        "seasonality_prior_scale": [5, 50], "weekly_seasonality": [0, 6], "yearly_seasonality": [0, 2], "holidays_prior_scale": [5, 50],
+        "changepoint_prior_scale": [0.01, 0.5], "interval_width": [0.9],
+    }
+    found = search.random_search(train, [], "load", "Prophet", space, 10, 4)
+    return spark.createDataFrame([(t["trial"], {k: str(x) for k, x in t["params"].items()}, t["rmse"], t["mae"]) for t in found], "trial int, params map<string,string>, rmse double, mae double")
+
+
 @register("l16_additive_regression")
 def l16(spark, sf):
     load = stage(v.load_hourly(spark, sf), "load")
-    frame, names = forecast.additive_features(load, START, SPLIT, 5, 0.8, {24.0: 3, 168.0: 2})
-    train, test = C.train_rows(frame, SPLIT, "timestamp"), C.test_rows(frame, SPLIT, "timestamp")
-    model = fit.fit_final(train, names, "load", "Prophet", {"reg_lambda": 0.1, "l1_ratio": 0.5, "weekly_seasonality": 10})
-    return v.r(fit.predict(model, test).select("event_type", "timestamp", "load", "prediction"))
+    spec = additive.AdditiveSpec(changepoints=5, orders={24.0: 3, 168.0: 2}, multiplicative=True, interval=0.9)
+    model = additive.fit_additive(C.train_rows(load, SPLIT, "timestamp"), "load", spec)
+    return model.predict(C.test_rows(load, SPLIT, "timestamp"))
+
+
+@register("l16_trend_and_interval", with_views("load_hourly", f"""t AS (SELECT *, date_diff('second', min(timestamp) OVER (), timestamp) / 3600.0::DOUBLE AS h FROM load_hourly WHERE timestamp < TIMESTAMP '{SPLIT}'),
+  f AS (SELECT regr_slope(load, h) AS s, regr_intercept(load, h) AS i FROM t), e AS (SELECT sqrt(avg(power(load - s * h - i, 2))) AS sigma FROM t, f),
+  p AS (SELECT event_type, timestamp, load, s * date_diff('second', (SELECT min(timestamp) FROM load_hourly), timestamp) / 3600.0 + i AS p, sigma FROM load_hourly, f, e WHERE timestamp >= TIMESTAMP '{SPLIT}')
+  SELECT event_type, timestamp, {q('load', 'load', 4)}, {q('p', 'prediction', 4)}, {q('p - 1.6448536269514722 * sigma', 'lower', 4)}, {q('p + 1.6448536269514722 * sigma', 'upper', 4)} FROM p"""))
+def l16t(spark, sf):
+    load = stage(v.load_hourly(spark, sf), "load")
+    spec = additive.AdditiveSpec(changepoints=0, orders={}, interval=0.9, holiday_scale=1e-9)  # holidays shrink to nothing
+    model = additive.fit_additive(C.train_rows(load, SPLIT, "timestamp"), "load", spec)
+    return v.r(model.predict(C.test_rows(load, SPLIT, "timestamp")), 4)
 
 
 @register("l15_model_features")
