@@ -156,7 +156,8 @@ def _rows(df: DataFrame, columns: Mapping[str, Column], target: str, cut_times:
 def ridge(gram: np.ndarray, columns: Sequence[int], penalty: np.ndarray) -> np.ndarray:
     """Intercept and coefficients of the chosen columns that minimise squared error + sum of penalty * coefficient^2.
 
-    The intercept is free. Columns and target are centred first, so a large level costs no digits.
+    The intercept is free. Columns and target are centred and columns brought to one scale first, so neither a large level nor
+    a large penalty costs digits.
     """
     n = gram[0, 0]
     if n == 0:
@@ -165,7 +166,10 @@ def ridge(gram: np.ndarray, columns: Sequence[int], penalty: np.ndarray) -> np.n
     mean, target = gram[0, keep] / n, gram[0, -1] / n
     a = gram[np.ix_(keep, keep)] - n * np.outer(mean, mean)
     b = gram[keep, -1] - n * mean * target
-    beta = np.linalg.lstsq(a + np.diag(penalty), b, rcond=None)[0]
+    a = a + np.diag(penalty)
+    unit = np.sqrt(np.maximum(np.diag(a), 0.0))
+    unit[unit == 0] = 1.0  # a column without variation: its coefficient stays 0
+    beta = np.linalg.lstsq(a / np.outer(unit, unit), b / unit, rcond=None)[0] / unit
     return np.concatenate([[target - mean @ beta], beta])
 
 
