@@ -1,17 +1,13 @@
-"""Forecasts: seasonal naive, Holt-Winters, one-step walk-forward, recursive multi-step, additive regression."""
+"""Forecasts: seasonal naive, one-step walk-forward, recursive multi-step, columns of an additive regression."""
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chronoload.functions.textfns import quoted
 from chronoload.functions.timefns import steps_since, ts_lit
@@ -40,70 +36,6 @@ def naive_errors(df: DataFrame, value: str, split_date: str, period: int = 168,
     return forecast_errors(scored, value, "prediction", [*series_cols, "split"])
 
 
-# ------------------------------------------------------------------ Holt-Winters
-
-DEFAULT_SMOOTHING = {"alpha": (0.05, 0.2, 0.5), "beta": (0.0, 0.01, 0.1), "gamma": (0.05, 0.2, 0.5)}
-
-
-def _smooth(y: np.ndarray, period: int, grid: np.ndarray):
-    """Additive level, trend and season for all parameter triples at once; returns states and errors."""
-    alpha, beta, gamma = grid.T
-    first, second = y[:period].mean(), y[period : 2 * period].mean()
-    level = np.full(len(grid), first)
-    slope = np.full(len(grid), (second - first) / period)
-    season = np.repeat((y[:period] - first)[:, None], len(grid), axis=1)
-    sse = np.zeros(len(grid))
-    for t in range(len(y)):
-        s = season[t % period]
-        error = y[t] - (level + slope + s)
-        sse += error**2
-        new_level = alpha * (y[t] - s) + (1 - alpha) * (level + slope)
-        slope = beta * (new_level - level) + (1 - beta) * slope
-        season[t % period] = gamma * (y[t] - new_level) + (1 - gamma) * s
-        level = new_level
-    return level, slope, season, sse
-
-
-def holt_winters(
-    df: DataFrame, value: str, split_date: str, horizon: int, period: int = 24, series_cols: Sequence[str] = (),
-    ts_col: str = "timestamp", step_seconds: int = 3600, smoothing: Mapping[str, Sequence[float]] | None = None,
-) -> DataFrame:
-    """Additive trend and season, fitted on the rows before the split, forecast ``horizon`` steps.
-
-    The smoothing parameters are those of least squared one-step error on a given grid. A group handed to
-    Python is one series on its grid; many series run side by side.
-    """
-    smoothing = dict(smoothing or DEFAULT_SMOOTHING)
-    grid = np.array(list(itertools.product(smoothing["alpha"], smoothing["beta"], smoothing["gamma"])), dtype=float)
-    keys = list(series_cols)
-    train = df.where(F.col(ts_col) < ts_lit(split_date)).select(*keys, ts_col, F.col(value).cast("double").alias("_y"))
-    schema = T.StructType(
-        [f for f in train.schema if f.name in keys]
-        + [T.StructField("step", T.IntegerType()), T.StructField("prediction", T.DoubleType())]
-        + [T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma", "sse")]
-    )
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(ts_col)["_y"].to_numpy()
-        if len(y) < 2 * period:
-            raise ValueError(f"a series needs two periods ({2 * period} rows) before the split, has {len(y)}")
-        level, slope, season, sse = _smooth(y, period, grid)
-        best = int(np.argmin(sse))
-        steps = np.arange(1, horizon + 1)
-        ahead = level[best] + steps * slope[best] + season[(len(y) + steps - 1) % period, best]
-        out = pd.DataFrame({"step": steps.astype("int32"), "prediction": ahead})
-        for name, x in zip(("alpha", "beta", "gamma"), grid[best], strict=True):
-            out[name] = x
-        out["sse"] = float(sse[best])
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[schema.names]
-
-    forecast = train.groupBy(*keys).applyInPandas(run, schema)
-    step = F.timestamp_seconds(F.unix_seconds(ts_lit(split_date)) + (F.col("step") - 1) * step_seconds)
-    return forecast.withColumn(ts_col, step).drop("step")
-
-
 # ------------------------------------------------------------------ walk-forward
 
 

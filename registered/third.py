@@ -16,7 +16,7 @@ from chronoload.plans import select as SE
 from chronoload.plans import train as TN
 from chronoload.session import new_path, stage
 from chronoload.sources import stages as ST
-from chronoload.training import additive, fit, folds, forecast, importance, search, selection
+from chronoload.training import additive, fit, folds, forecast, importance, search, selection, smoothing
 from chronoload.training.registry import build_model
 from registered import views as v
 from registered.first import PERIOD, PIECES_SQL, TRIM_SQL, _incident_file, _session_file
@@ -279,7 +279,7 @@ _L12 = f"""ys AS MATERIALIZED (SELECT event_type, list(load ORDER BY timestamp)
 
 @register("l12_holt_winters", with_views("load_hourly", _L12).replace("WITH ", "WITH RECURSIVE ", 1))
 def l12(spark, sf):
-    out = forecast.holt_winters(v.load_hourly(spark, sf), "load", SPLIT, 216, 24, KEY)
+    out = smoothing.holt_winters(v.load_hourly(spark, sf), "load", SPLIT, 216, 24, KEY)
     return v.r(v.r(out, 6, ["prediction", "alpha", "beta", "gamma"]), 2, ["sse"])
 
 

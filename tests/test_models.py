@@ -15,7 +15,7 @@ from chronoload.plans import select as SE
 from chronoload.plans import train as TN
 from chronoload.plans.forecast import forecast_best
 from chronoload.session import new_path
-from chronoload.training import fit, folds, forecast, importance, runs, search, selection
+from chronoload.training import fit, folds, forecast, importance, runs, search, selection, smoothing
 from chronoload.training.registry import build_model, translate
 
 LAGS = ["y_lag_1", "y_lag_24", "y_rw_3_mean", "y_rw_24_sum"]
@@ -194,7 +194,7 @@ def plain_holt_winters(y, period, alpha, beta, gamma, horizon):
 def test_holt_winters(spark, hourly):
     df, pdf = hourly
     split = "2024-01-20"
-    got = forecast.holt_winters(df, "y", split, 30, 24, ["s"], smoothing={"alpha": [0.2, 0.9], "beta": [0.01], "gamma": [0.3]})
+    got = smoothing.holt_winters(df, "y", split, 30, 24, ["s"], smoothing={"alpha": [0.2, 0.9], "beta": [0.01], "gamma": [0.3]})
     got = got.orderBy("s", "timestamp").toPandas()
     for s, p in pdf[pdf.timestamp < split].groupby("s"):
         mine = got[got.s == s]
@@ -205,6 +205,53 @@ def test_holt_winters(spark, hourly):
     assert np.abs(errors.prediction - errors.y).mean() < errors.y.std()
 
 
+def test_holt_winters_composes_blocks(spark):
+    rng = np.random.default_rng(6)
+    frames = []
+    for name, n in (("long", 24 * 50 + 7), ("short", 48), (None, 24 * 9)):
+        t = np.arange(n)
+        y = 1e3 + 0.1 * t + 9 * np.sin(2 * np.pi * t / 6) + rng.normal(0, 1, n)
+        frames.append(pd.DataFrame({"s": name, "timestamp": pd.date_range("2024-03-01", periods=n, freq="h") - pd.Timedelta(hours=n), "y": y}))
+    pdf = pd.concat(frames, ignore_index=True)
+    df = spark.createDataFrame(pdf, "s string, timestamp timestamp, y double").repartition(6)
+    choice = {"alpha": [0.1, 0.4, 0.4], "beta": [0.0, 0.2], "gamma": [0.3, 1.0]}
+    want = {}
+    for name, p in zip(("long", "short", None), frames):
+        tried = []
+        for a, b, g in [(a, b, g) for a in choice["alpha"] for b in choice["beta"] for g in choice["gamma"]]:
+            y, period = p.y.to_numpy(), 6
+            level, slope = y[:6].mean(), (y[6:12].mean() - y[:6].mean()) / 6
+            season, sse = list(y[:6] - level), 0.0
+            for t, x in enumerate(y):
+                s, before = season[t % 6], level
+                sse += (x - level - slope - s) ** 2
+                level = a * (x - s) + (1 - a) * (level + slope)
+                slope = b * (level - before) + (1 - b) * slope
+                season[t % 6] = g * (x - level) + (1 - g) * s
+            tried.append((sse, a, b, g))
+        sse, a, b, g = min(tried)
+        want[name] = (a, b, g, sse, plain_holt_winters(p.y.to_numpy(), 6, a, b, g, 9))
+    for periods in (2, 3, 28):  # up to a hundred blocks: two rounds of composing
+        got = smoothing.holt_winters(df, "y", "2024-03-01", 9, 6, ["s"], smoothing=choice, block_periods=periods)
+        plan = got._jdf.queryExecution().toString()
+        assert "FlatMapGroups" not in plan and "BatchEvalPython" not in plan
+        rows = got.orderBy("timestamp").toPandas()
+        for name, (a, b, g, sse, ahead) in want.items():
+            own = rows[rows.s.isna()] if name is None else rows[rows.s == name]
+            assert tuple(own[["alpha", "beta", "gamma"]].iloc[0]) == (a, b, g)
+            np.testing.assert_allclose(own.sse, sse, rtol=1e-6)
+            np.testing.assert_allclose(own.prediction, ahead, rtol=1e-8)
+    one = df.where("s = 'long'").drop("s")
+    assert smoothing.holt_winters(one, "y", "2024-03-01", 3, 6, smoothing=choice).count() == 3
+    assert smoothing.holt_winters(df.limit(0), "y", "2024-03-01", 3, 6, ["s"]).count() == 0
+    with pytest.raises(ValueError, match="missing"):
+        smoothing.holt_winters(df.withColumn("y", F.when(F.hour("timestamp") != 3, F.col("y"))), "y", "2024-03-01", 3, 6, ["s"])
+    with pytest.raises(ValueError, match="missing"):
+        smoothing.holt_winters(df.where("hour(timestamp) != 3"), "y", "2024-03-01", 3, 6, ["s"])
+    with pytest.raises(ValueError, match="two periods"):
+        smoothing.holt_winters(df, "y", "2024-03-01", 3, 30, ["s"])
+
+
 def test_seasonal_naive_and_walk_forward(spark, hourly):
     df, pdf = hourly
     got = {(r.s, r.split): r for r in forecast.naive_errors(df, "y", "2024-01-20", 168, ["s"]).collect()}
