@@ -50,7 +50,9 @@ def align(
     values = [c for c in agg.columns if c not in (*series_cols, ts_col)]
     if series_cols:
         if series is None:
-            series = agg.select(*series_cols).distinct()
+            # counting every value column keeps both uses of ``agg`` alike, so Spark scans once and reuses its shuffle
+            used = [F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate([*values, ts_col])]
+            series = agg.groupBy(*series_cols).agg(*used).where(" and ".join(f"_n{i} >= 0" for i in range(len(used))))
         grid = series.select(*series_cols, F.explode(_grid_times(start, end, step_seconds)).alias(ts_col))
     else:
         spark = agg.sparkSession
@@ -70,14 +72,19 @@ def pivot_sums(
     pivot_values: Sequence[Sequence[str]],
     sums: Sequence[str],
     name,
+    rest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum of each ``sums`` column per combination in ``pivot_values``, 0 where there is none.
 
-    The combinations come from configuration, which saves the distinct job and fixes the schema.
-    ``name(column, values)`` gives the output names.
+    The combinations come from configuration, which saves the distinct job and fixes the schema. ``name(column, values)``
+    gives the output names. Combinations that are not listed, with a null or not, are left out, unless ``rest`` names them:
+    then ``name(column, rest)`` holds their sum, from the same pass, and every amount is in one of the columns.
     """
-    label = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in pivot_cols])
+    label = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in pivot_cols])
     labels = ["\u0001".join(map(str, v)) for v in pivot_values]
+    if rest is not None:
+        label = F.when(label.isin(labels), label).otherwise("\u0002")
+        labels, pivot_values = [*labels, "\u0002"], [*pivot_values, tuple(rest)]
     aggs = [F.sum(c).alias(c) for c in sums]
     wide = df.withColumn("_label", label).groupBy(*key_cols).pivot("_label", labels).agg(*aggs)
     outputs = []

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoload.functions.timefns import clock_hours, minutes_between, ts_lit
@@ -93,7 +93,11 @@ def sessions_to_load(df: DataFrame, period: Period, rules: SessionRules = Sessio
 
 @dataclass(frozen=True)
 class IncidentRules:
-    """``measures`` are capped, logged and summed; ``rollups`` maps a new column to the substring it sums."""
+    """``measures`` are capped, logged and summed; ``rollups`` maps a new column to the substring it sums.
+
+    A severity that is not listed (or null) fails the job, unless ``other`` names one that takes all of them: each type then
+    has columns for it, which the roll-ups of the type include.
+    """
 
     types: Sequence[str]
     severities: Sequence[str]
@@ -102,6 +106,15 @@ class IncidentRules:
     rollups: Mapping[str, str] = field(default_factory=dict)
     mad_threshold: float = 3.5
     series_cols: Sequence[str] = field(default_factory=tuple)
+    other: str | None = None
+
+
+def _listed_severity(rules: IncidentRules) -> Column:
+    own = F.col("severity").cast("string")
+    if rules.other is not None:
+        return F.when(own.isin(list(rules.severities)), own).otherwise(rules.other)
+    unlisted = F.raise_error(F.concat(F.lit("severity not listed: "), F.coalesce(own, F.lit("null")))).cast("string")
+    return F.when(own.isin(list(rules.severities)), own).otherwise(unlisted)
 
 
 def weather_rules(types, severities, rollups, **more) -> IncidentRules:
@@ -146,8 +159,8 @@ def incidents_to_hours(df: DataFrame, period: Period, rules: IncidentRules) -> D
     """Minutes (and distances) per hour, type and severity, on the full grid, with roll-up columns."""
     series = list(rules.series_cols)
     capped = incidents_capped(df, period, rules).select("starttime", "type", "severity", *rules.measures, *series)
-    pieces = split_by_hour(capped)
-    pairs = [(t, s) for t in rules.types for s in rules.severities]
+    pieces = split_by_hour(capped.withColumn("severity", _listed_severity(rules)))
+    pairs = [(t, s) for t in rules.types for s in [*rules.severities, *([rules.other] if rules.other is not None else [])]]
     wide = G.pivot_sums(pieces, [*series, "timestamp"], ["type", "severity"], pairs, rules.measures, rules.name)
     values = [c for c in wide.columns if c not in (*series, "timestamp")]
     out = G.align(wide, period.start, period.end, series, values, period.step_seconds)

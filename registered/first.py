@@ -429,35 +429,48 @@ def _pivot_cols(values, types, prefix):
         for col, name in values for t in types for s in v.SEVERITIES)
 
 
+def _rest_cols(values, types, prefix):
+    listed = " OR ".join(f"(type = '{t}' AND severity = '{s}')" for t in types for s in v.SEVERITIES)
+    return ", ".join(q(f"coalesce(sum({col}) FILTER (NOT coalesce({listed}, false)), 0)", prefix(name), 4) for col, name in values)
+
+
 @register("d3_pivot_sum", with_views("incidents", f"""src AS (SELECT starttime, type, severity, date_diff('minute', starttime, endtime)::DOUBLE AS dur FROM incidents),
-  {PIECES_SQL.format(src='src')} SELECT timestamp, {_pivot_cols([('minutes', 'duration')], ['click', 'view'], lambda n, t, s: f'w_{t}_{s}_dur')}
+  {PIECES_SQL.format(src='src')} SELECT timestamp, {_pivot_cols([('minutes', 'duration')], ['click', 'view'], lambda n, t, s: f'w_{t}_{s}_dur')},
+    {_rest_cols([('minutes', 'duration')], ['click', 'view'], lambda n: 'w_rest_dur')}
   FROM pieces GROUP BY 1"""))
 def d3(spark, sf):
     df = v.incidents(spark, sf).withColumn("duration", timefns.minutes_between("starttime", "endtime").cast("double"))
     pairs = [(t, s) for t in ("click", "view") for s in v.SEVERITIES]
     return v.r(G.pivot_sums(EV.split_by_hour(df), ["timestamp"], ["type", "severity"], pairs, ["duration"],
-                            lambda c, p: f"w_{p[0]}_{p[1]}_dur"), 4)
+                            lambda c, p: f"w_{'_'.join(p)}_dur", ("rest",)), 4)
 
 
 @register("d4_pivot_two_sums", with_views("incidents", f"""src AS (SELECT starttime, type, severity, distance, date_diff('minute', starttime, endtime)::DOUBLE AS dur FROM incidents),
-  {PIECES_SQL.format(src='src')} SELECT timestamp, {_pivot_cols([('minutes', 'duration'), ('distance', 'distance')], ['click', 'view'], lambda n, t, s: f't_{n}_{t}_{s}')}
+  {PIECES_SQL.format(src='src')} SELECT timestamp, {_pivot_cols([('minutes', 'duration'), ('distance', 'distance')], ['click', 'view'], lambda n, t, s: f't_{n}_{t}_{s}')},
+    {_rest_cols([('minutes', 'duration'), ('distance', 'distance')], ['click', 'view'], lambda n: f't_{n}_rest')}
   FROM pieces GROUP BY 1"""))
 def d4(spark, sf):
     df = v.incidents(spark, sf).withColumn("duration", timefns.minutes_between("starttime", "endtime").cast("double"))
     pairs = [(t, s) for t in ("click", "view") for s in v.SEVERITIES]
     return v.r(G.pivot_sums(EV.split_by_hour(df), ["timestamp"], ["type", "severity"], pairs, ["duration", "distance"],
-                            lambda c, p: f"t_{c}_{p[0]}_{p[1]}"), 4)
+                            lambda c, p: f"t_{c}_{'_'.join(p)}", ("rest",)), 4)
 
 
-@register("c1_four_way_join", with_views("load_hourly temps incidents", f"""a AS (SELECT * FROM load_hourly WHERE event_type = 'click'), b AS (SELECT * FROM load_hourly WHERE event_type = 'error'),
-  c AS (SELECT starttime, avg(temp) AS temp FROM temps GROUP BY 1), d AS (SELECT date_trunc('hour', starttime) AS h, count(*) AS incidents FROM incidents GROUP BY 1)
-  SELECT a.timestamp, {q('a.load', 'load_click')}, {q('b.load', 'load_error')}, {q('temp')}, incidents FROM a JOIN b USING (timestamp) JOIN c ON c.starttime = a.timestamp JOIN d ON d.h = a.timestamp"""))
+@register("c1_four_way_join", with_views("load_hourly incidents", f"""t AS (SELECT event_type, date_trunc('hour', ts) AS timestamp, avg(value) AS mean_value, count(*) AS sessions FROM events GROUP BY 1, 2),
+  d AS (SELECT type AS event_type, date_trunc('hour', starttime) AS timestamp, count(*) AS incidents, sum(distance) AS distance FROM incidents GROUP BY 1, 2)
+  SELECT event_type, timestamp, {q('load')}, coalesce(sessions, 0) AS sessions, {q('mean_value')}, coalesce(incidents, 0) AS incidents, {q('coalesce(distance, 0)', 'distance')}
+  FROM load_hourly LEFT JOIN t USING (event_type, timestamp) LEFT JOIN d USING (event_type, timestamp)"""))
 def c1(spark, sf):
-    load = v.load_hourly(spark, sf)
-    one = lambda t: load.where(F.col("event_type") == t).select("timestamp", F.col("load").alias(f"load_{t}"))
-    temp = G.resample(v.temps(spark, sf), "starttime", [F.avg("temp").alias("temp")])
-    counts = G.resample(v.incidents(spark, sf), "starttime", [F.count("*").alias("incidents")])
-    return v.r(G.combine({"a": one("click"), "b": one("error"), "c": temp, "d": counts}, 0, validate=False))
+    events, span = v.events(spark, sf), (v.START, v.END, ["event_type"])
+    counts = G.align(G.resample(events, "ts", [F.count("*").alias("sessions")], ["event_type"]), *span, ["sessions"])
+    means = G.align(G.resample(events, "ts", [F.avg("value").alias("mean_value")], ["event_type"]), *span)
+    incidents = v.incidents(spark, sf).withColumnRenamed("type", "event_type")
+    logged = G.align(
+        G.resample(incidents, "starttime", [F.count("*").alias("incidents"), F.sum("distance").alias("distance")], ["event_type"]),
+        *span, ["incidents", "distance"])
+    parts = {"load": v.load_hourly(spark, sf), "counts": counts, "means": means, "incidents": logged}
+    staged = {name: stage(part, name) for name, part in parts.items()}  # read by the validation and by the join
+    return v.r(G.combine(staged, 720, ["event_type"]))
 
 
 @register("c6_membership", "SELECT event_id, user_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")

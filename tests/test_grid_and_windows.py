@@ -14,6 +14,7 @@ from chronoload.operators import trend as TR
 from chronoload.operators import windows as W
 from chronoload.operators.blocks import block_scan
 from chronoload.operators.events import split_by_hour
+from chronoload.plans import enrich as E
 from chronoload.session import new_path
 
 
@@ -68,6 +69,37 @@ def test_pivot_sums(spark):
     assert tuple(out.first())[1:] == (5.0, 1.0, 0.0)
 
 
+def test_pivot_loses_no_amount(spark):
+    t = datetime(2024, 1, 1)
+    rows = [(t, "Rain", "Light", 2.0), (t, "Hail", "Light", 7.0), (t, "Rain", None, 1.0), (t, None, "Light", 4.0), (t, None, None, 0.5)]
+    df = spark.createDataFrame(rows, "t timestamp, type string, sev string, d double").withColumn("e", F.col("d") * 10)
+    name = lambda c, p: f"{c}_{'_'.join(p)}"
+    out = G.pivot_sums(df, ["t"], ["type", "sev"], [("Rain", "Light")], ["d", "e"], name, rest=("rest",)).first()
+    assert out.asDict() == {"t": t, "d_Rain_Light": 2.0, "d_rest": 12.5, "e_Rain_Light": 20.0, "e_rest": 125.0}
+    period = E.Period("2024-01-01", "2024-01-02", "2024-01-02")
+    log = spark.createDataFrame(
+        [(t + timedelta(hours=k), t + timedelta(hours=k, minutes=20 + k), "Rain", s) for k, s in enumerate(["Light", "Light", "New", None])],
+        "starttime timestamp, endtime timestamp, type string, severity string")
+    rules = dict(types=["Rain"], severities=["Light"], rollups={"w_rain_dur": "rain"})
+    out = E.incidents_to_hours(log, period, E.weather_rules(**rules, other="other"))
+    sums = out.agg(*[F.sum(c).alias(c) for c in ("w_rain_light_dur", "w_rain_other_dur", "w_rain_dur")]).first()
+    assert out.count() == 24 and sums.w_rain_other_dur > 0 and sums.w_rain_dur == sums.w_rain_light_dur + sums.w_rain_other_dur
+    with pytest.raises(Exception, match="severity not listed"):
+        E.incidents_to_hours(log, period, E.weather_rules(**rules)).collect()
+
+
+def test_alignment_scans_its_source_once(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.range(1000).selectExpr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id % 24) AS ts", "id % 3 AS s", "id AS x").write.parquet(path)
+    sums = G.resample(spark.read.parquet(path), "ts", [F.sum("x").alias("x")], ["s"])
+    out = G.align(sums, "2024-01-01", "2024-01-02", ["s"], ["x"])
+    assert out.count() == 72
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final or final.count("Scan parquet") == 1, plan
+
+
 def test_validation(spark, hourly):
     df, _ = hourly
     assert G.require_complete(df, 600, "y", ["s"])[0] == datetime(2024, 1, 1)
