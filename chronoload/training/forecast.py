@@ -15,7 +15,7 @@ from chronoload.operators.keys import join_on
 from chronoload.operators.scores import forecast_errors
 from chronoload.operators.trend import add_trend, remove_trend
 from chronoload.operators.windows import lag_features
-from chronoload.session import shared_dir
+from chronoload.session import stage
 from chronoload.training.fit import feature_names
 
 # ------------------------------------------------------------------ seasonal naive
@@ -77,32 +77,43 @@ def _from_history(name: str, source: str, history: Column) -> Column:
     raise ValueError(f"cannot rebuild feature {name}")
 
 
+def _reach(name: str, source: str) -> int:
+    """How many steps back a history feature looks, read off its name."""
+    rest = name[len(source) + 1 :].split("_")
+    return int(rest[1])
+
+
+SEGMENT = 8
+
+
 def recursive_forecast(
     model: PipelineModel, history: DataFrame, exogenous: DataFrame, target: str, forecast_start: str, horizon: int,
-    max_lag: int = 168, flag: str | None = None, series_cols: Sequence[str] = (), ts_col: str = "timestamp",
-    step_seconds: int = 3600, trend: DataFrame | None = None, series_start: str | None = None,
-    checkpoint_every: int = 8,
+    max_lag: int | None = None, flag: str | None = None, series_cols: Sequence[str] = (), ts_col: str = "timestamp",
+    step_seconds: int = 3600, trend: DataFrame | None = None, series_start: str | None = None, segment: int = SEGMENT,
 ) -> DataFrame:
     """``(series…, timestamp, forecast, actual)`` over ``horizon`` steps, each step fed by the ones before.
 
-    ``history`` holds the raw target (and ``flag``, such as an outlier flag) up to the start; rows after it
-    only serve as ``actual``. ``exogenous`` holds every feature that is not built from the target, at the
-    forecast times. With ``trend`` the target is detrended first and the trend added back at the end;
-    positions count from ``series_start``. Flags of forecast steps are 0.
+    ``history`` holds the raw target (and ``flag``, such as an outlier flag) up to the start; rows after it only serve as
+    ``actual``. ``exogenous`` holds every feature that is not built from the target, at the forecast times; a missing value
+    is refused. With ``trend`` the target is detrended first and the trend added back at the end; positions count from
+    ``series_start``. Flags of forecast steps are 0.
 
-    A series is one row with its last ``max_lag`` values in an array, so a step is a projection without
-    any shuffle, and the plan is cut by a checkpoint every few steps.
+    A series' state is one row with the last values its features look back on: how many follows from their names (``max_lag``
+    may only confirm it). The horizon is walked in segments: the exogenous rows of the next ``segment`` steps join the state,
+    the steps are projections without a shuffle, and state and forecasts are written, so neither the state nor the plan
+    grows with the horizon.
     """
     keys = list(series_cols)
-    spark = history.sparkSession
-    shared_dir(spark)
     features, regressor = feature_names(model), model.stages[-1]
     sources = [s for s in (flag, target) if s]
     from_target = {f: next(s for s in sources if f.startswith(f"{s}_")) for f in features
                    if any(f.startswith(f"{s}_lag_") or f.startswith(f"{s}_rw_") for s in sources)}
     given = [f for f in features if f not in from_target]
+    reach = max([1, *[_reach(f, s) for f, s in from_target.items()]])
+    if max_lag is not None and max_lag < reach:
+        raise ValueError(f"the model looks back {reach} steps, max_lag allows {max_lag}")
     begin = ts_lit(forecast_start)
-    first = F.timestamp_seconds(F.unix_seconds(begin) - max_lag * step_seconds)
+    first = F.timestamp_seconds(F.unix_seconds(begin) - reach * step_seconds)
     end = F.timestamp_seconds(F.unix_seconds(begin) + horizon * step_seconds)
 
     past = history
@@ -115,45 +126,49 @@ def recursive_forecast(
     state = recent.groupBy(*keys).agg(packed.alias("_rows"), F.countDistinct(ts_col).alias("_n")).select(
         *keys, "_n", *[F.col(f"_rows.{s}").alias(f"_h_{s}") for s in sources]
     )
-    future = exogenous.where((F.col(ts_col) >= begin) & (F.col(ts_col) < end))
-    ahead = F.sort_array(F.collect_list(F.struct(ts_col, *[quoted(g).cast("double").alias(g) for g in given])))
-    steps = future.groupBy(*keys).agg(ahead.alias("_ahead"), F.countDistinct(ts_col).alias("_m"))
-    state = join_on(state, steps, keys, "left").withColumn("_fc", F.array().cast("array<double>")).checkpoint()
-    lacking = state.where((F.col("_n") != max_lag) | F.col("_m").isNull() | (F.col("_m") != horizon))
+    at = F.floor((F.unix_seconds(ts_col) - F.unix_seconds(begin)) / step_seconds)
+    future = exogenous.where((F.col(ts_col) >= begin) & (F.col(ts_col) < end)).select(
+        *keys, at.alias("_at"), F.floor(at / segment).cast("int").alias("_segment"), *[quoted(g).cast("double").alias(g) for g in given])
+    future = stage(future, "exogenous")
+    absent = F.lit(False)
+    for g in given:
+        absent = absent | quoted(g).isNull() | F.isnan(quoted(g))
+    steps = future.groupBy(*keys).agg(F.countDistinct("_at").alias("_m"), F.count_if(absent).alias("_absent"))
+    state = stage(join_on(state, steps, keys, "left"), "states")
+    lacking = state.where((F.col("_n") != reach) | F.col("_m").isNull() | (F.col("_m") != horizon))
     short = lacking.select(F.count("*").alias("c"), F.min("_n").alias("n"), F.min("_m").alias("m")).first()
     if short.c or state.isEmpty():
         raise ValueError(
-            f"{short.c} series lack required times: {short.n} of {max_lag} before the start, {short.m} of {horizon} after"
+            f"{short.c} series lack required times: {short.n} of {reach} before the start, {short.m} of {horizon} after"
         )
-    kept = [*keys, *[f"_h_{s}" for s in sources], "_ahead", "_fc"]
-    state = state.select(*kept)
-    # the columns of a step are the same for every step: its number is how many forecasts there are. The
-    # vector is in the order the model was fitted; a missing given value becomes NaN
+    holes = state.where("_absent > 0").count()
+    if holes:
+        raise ValueError(f"{holes} series lack values of {', '.join(given)} at forecast times")
+    past_values = [f"_h_{s}" for s in sources]
+    state = state.select(*keys, *past_values)
+    # the columns of a step are the same for every step: its number is how many forecasts the segment has. The vector is
+    # in the order the model was fitted
     now = F.element_at("_ahead", F.size("_fc") + 1)
     vector = F.array(
-        *[
-            _from_history(f, from_target[f], F.col(f"_h_{from_target[f]}"))
-            if f in from_target
-            else F.coalesce(now.getField(f), F.lit(float("nan")))
-            for f in features
-        ]
+        *[_from_history(f, from_target[f], F.col(f"_h_{from_target[f]}")) if f in from_target else now.getField(f) for f in features]
     )
-    inputs = [*kept, array_to_vector(vector).alias("features")]
+    inputs = [*keys, *past_values, "_ahead", "_fc", array_to_vector(vector).alias("features")]
     moved = [
-        F.concat(
-            F.slice(f"_h_{s}", F.lit(2), F.lit(max_lag - 1)), F.array(F.col("prediction") if s == target else F.lit(0.0))
-        ).alias(f"_h_{s}")
+        F.concat(F.slice(f"_h_{s}", F.lit(2), F.lit(reach - 1)), F.array(F.col("prediction") if s == target else F.lit(0.0))).alias(f"_h_{s}")
         for s in sources
     ]
     outputs = [*keys, *moved, "_ahead", F.concat("_fc", F.array("prediction")).alias("_fc")]
-    for step in range(horizon):
-        state = regressor.transform(state.select(*inputs)).select(*outputs)
-        # also after the last step: a filter pushed into uncut steps would repeat them inside each other
-        if (step + 1) % checkpoint_every == 0 or step == horizon - 1:
-            state = state.checkpoint()
-    out = state.select(*keys, F.posexplode("_fc").alias("_i", "forecast")).select(
-        *keys, F.timestamp_seconds(F.unix_seconds(begin) + F.col("_i") * step_seconds).alias(ts_col), "forecast"
-    )
+    out = None
+    for part in range(-(-horizon // segment)):
+        ahead = F.sort_array(F.collect_list(F.struct("_at", *[quoted(g) for g in given]))).alias("_ahead")
+        own = future.where(F.col("_segment") == part).groupBy(*keys).agg(ahead)
+        state = join_on(state.select(*keys, *past_values), own, keys).withColumn("_fc", F.array().cast("array<double>"))
+        for _ in range(min(segment, horizon - part * segment)):
+            state = regressor.transform(state.select(*inputs)).select(*outputs)
+        state = stage(state.drop("_ahead"), "states")
+        told = state.select(*keys, F.posexplode("_fc").alias("_i", "forecast")).withColumn("_i", F.col("_i") + part * segment)
+        out = told if out is None else out.unionByName(told)
+    out = out.select(*keys, F.timestamp_seconds(F.unix_seconds(begin) + F.col("_i") * step_seconds).alias(ts_col), "forecast")
     if trend is not None:
         out = add_trend(out, trend, "forecast", series_start, keys, ts_col, step_seconds)
     actual = history.where((F.col(ts_col) >= begin) & (F.col(ts_col) < end)).select(*keys, ts_col, F.col(target).alias("actual"))

@@ -283,6 +283,10 @@ def l12(spark, sf):
     return v.r(v.r(out, 6, ["prediction", "alpha", "beta", "gamma"]), 2, ["sse"])
 
 
+#: Hours from the split to the end of the table.
+HORIZON = 216
+
+
 def _exogenous(frame):
     return frame.select("event_type", "timestamp", "hour")
 
@@ -295,22 +299,38 @@ def l14(spark, sf):
     frame = windows.history_features(flat, {"load": [1, 24, 168]}, {"load": [24]}, {"load": [3]}, KEY).withColumn("hour", F.hour("timestamp").cast("double"))
     model = fit.fit_final(C.train_rows(frame.dropna(), SPLIT, "timestamp"), FEATURES, "load", "Linear")
     return v.r(forecast.recursive_forecast(
-        model, load, _exogenous(frame), "load", SPLIT, 48, series_cols=KEY, trend=trend, series_start=START))
+        model, load, _exogenous(frame), "load", SPLIT, HORIZON, series_cols=KEY, trend=trend, series_start=START))
 
 
 _LAG24 = "(SELECT event_type, timestamp, load, lag(load, 24) OVER (PARTITION BY event_type ORDER BY timestamp) AS x FROM load_hourly)"
 
 
 @register("l8_l14_recursive_forecast_one_lag", with_views("load_hourly", f"""fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_LAG24} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL),
-  day1 AS (SELECT event_type, timestamp + INTERVAL 24 HOUR AS timestamp, s * load + i AS forecast FROM load_hourly, fit WHERE timestamp >= TIMESTAMP '{SPLIT}' - INTERVAL 24 HOUR AND timestamp < TIMESTAMP '{SPLIT}'),
-  both_days AS (SELECT * FROM day1 UNION ALL SELECT event_type, timestamp + INTERVAL 24 HOUR, s * forecast + i FROM day1, fit)
-  SELECT b.event_type, b.timestamp, {q('forecast', places=4)}, {q('load', 'actual', 4)} FROM both_days b JOIN load_hourly l ON l.event_type = b.event_type AND l.timestamp = b.timestamp"""))
+  last AS (SELECT event_type, timestamp, load FROM load_hourly WHERE timestamp >= TIMESTAMP '{SPLIT}' - INTERVAL 24 HOUR AND timestamp < TIMESTAMP '{SPLIT}'),
+  ahead AS (SELECT event_type, timestamp + to_days(d) AS timestamp, power(s, d) * load + i * (power(s, d) - 1) / (s - 1) AS forecast FROM last, fit, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS d))
+  SELECT b.event_type, b.timestamp, {q('forecast', places=4)}, {q('load', 'actual', 4)} FROM ahead b JOIN load_hourly l ON l.event_type = b.event_type AND l.timestamp = b.timestamp"""))
 def l14s(spark, sf):
     load = stage(v.load_hourly(spark, sf), "load")
     frame = windows.history_features(load, {"load": [24]}, series_cols=KEY)
     model = fit.fit_final(C.train_rows(frame.dropna(), SPLIT, "timestamp"), ["load_lag_24"], "load", "Linear")
     times = frame.select("event_type", "timestamp")
-    return v.r(forecast.recursive_forecast(model, load, times, "load", SPLIT, 48, 24, series_cols=KEY), 4)
+    return v.r(forecast.recursive_forecast(model, load, times, "load", SPLIT, HORIZON, 24, series_cols=KEY), 4)
+
+
+_MEAN3 = "(SELECT event_type, timestamp, load, CASE WHEN row_number() OVER w > 3 THEN avg(load) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END AS x FROM load_hourly WINDOW w AS (PARTITION BY event_type ORDER BY timestamp))"
+
+
+@register("l14_recursive_forecast_rolling_mean", with_views("load_hourly", f"""fit AS MATERIALIZED (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_MEAN3} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL),
+  walk AS (SELECT event_type, 0 AS h, list(load ORDER BY timestamp) AS y FROM load_hourly WHERE timestamp >= TIMESTAMP '{SPLIT}' - INTERVAL 3 HOUR AND timestamp < TIMESTAMP '{SPLIT}' GROUP BY 1
+    UNION ALL SELECT event_type, h + 1, list_append(y[2:3], s * list_avg(y) + i) FROM walk, fit WHERE h < {HORIZON}),
+  ahead AS (SELECT event_type, TIMESTAMP '{SPLIT}' + to_hours(h - 1) AS timestamp, y[3] AS forecast FROM walk WHERE h > 0)
+  SELECT b.event_type, b.timestamp, {q('forecast', places=4)}, {q('load', 'actual', 4)} FROM ahead b JOIN load_hourly l ON l.event_type = b.event_type AND l.timestamp = b.timestamp""").replace("WITH ", "WITH RECURSIVE ", 1))
+def l14m(spark, sf):
+    load = stage(v.load_hourly(spark, sf), "load")
+    frame = stage(windows.history_features(load, means={"load": [3]}, series_cols=KEY), "frame")
+    name = next(c for c in frame.columns if c.startswith("load_rw_3"))
+    model = fit.fit_final(C.train_rows(frame.dropna(), SPLIT, "timestamp"), [name], "load", "Linear")
+    return v.r(forecast.recursive_forecast(model, load, frame.select("event_type", "timestamp"), "load", SPLIT, HORIZON, series_cols=KEY), 4)
 
 
 @register("l13_walk_forward_one_lag", with_views("load_hourly", f"""fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_LAG24} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL)
@@ -403,7 +423,7 @@ def o11(spark, sf):
     runs_path, models = new_path(spark, "runs"), new_path(spark, "models")
     TN.train_model(frame, FEATURES, "load", SPLIT, "Random Forest", {"n_estimators": [5, 8], "max_depth": [3, 5]}, runs_path, models,
                    "demo", "E_f_8_rfe_4", 2, 2, key_cols=["event_type", "timestamp"], repeats=2)
-    return v.r(FC.forecast_best(v.load_hourly(spark, sf), _exogenous(frame), "load", SPLIT, 6, runs_path, models, "demo",
+    return v.r(FC.forecast_best(frame, None, "load", SPLIT, HORIZON, runs_path, models, "demo",
                                 series_cols=KEY, out=new_path(spark, "forecast")))
 
 

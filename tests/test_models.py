@@ -281,7 +281,7 @@ def test_recursive_forecast_equals_a_plain_loop(spark, hourly, with_trend):
     trend = spark.createDataFrame([("a", 0.02, 3.0), ("b", 0.01, 1.0)], "s string, slope double, intercept double") if with_trend else None
     got = forecast.recursive_forecast(
         model, df, frame.select("s", "timestamp", "hour"), "y", start, horizon, max_lag=24, series_cols=["s"],
-        trend=trend, series_start="2024-01-01", checkpoint_every=3,
+        trend=trend, series_start="2024-01-01", segment=3,
     ).orderBy("s", "timestamp").toPandas()
     lines = {"a": (0.02, 3.0), "b": (0.01, 1.0)}
     for s, p in pdf.groupby("s"):
@@ -307,6 +307,12 @@ def test_recursive_forecast_needs_its_history_and_future(spark, hourly):
         forecast.recursive_forecast(model, df.where("timestamp != '2024-01-19 05:00:00'"), exogenous, "y", "2024-01-20", 3, 24, series_cols=["s"])
     with pytest.raises(ValueError, match="lack required times"):
         forecast.recursive_forecast(model, df, exogenous, "y", "2024-01-25 20:00:00", 30, 24, series_cols=["s"])
+    with pytest.raises(ValueError, match="looks back 24 steps"):
+        forecast.recursive_forecast(model, df, exogenous, "y", "2024-01-20", 3, 23, series_cols=["s"])
+    holes = exogenous.withColumn("hour", F.when(F.col("hour") != 2, F.col("hour")))
+    with pytest.raises(ValueError, match="lack values of hour"):
+        forecast.recursive_forecast(model, df, holes, "y", "2024-01-20", 3, series_cols=["s"])
+    assert forecast.recursive_forecast(model, df, holes, "y", "2024-01-20", 2, series_cols=["s"], segment=5).count() == 4
 
 
 def test_recursive_forecast_with_an_outlier_flag(spark, hourly):
@@ -344,8 +350,7 @@ def test_features_train_and_forecast_end_to_end(spark, hourly):
     assert fit.feature_names(again) == [fit.safe_names(small.columns)[c] for c in chosen]
     table = runs.read_runs(spark, runs_path)
     assert table.where("level = 'child'").count() == 2 and table.where("level = 'parent'").first().run_number == 1
-    future = fit.with_safe_names(small)
-    out = forecast_best(load, future, "energy", "2024-01-20", 4, runs_path, models, "exp", out=new_path(spark, "fc"))
+    out = forecast_best(load, small, "energy", "2024-01-20", 4, runs_path, models, "exp", out=new_path(spark, "fc"))
     assert out.count() == 4 and out.where("forecast is null or actual is null").count() == 0
 
 
