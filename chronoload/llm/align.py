@@ -37,7 +37,7 @@ from chronoload.llm.bpe import shipped
 from chronoload.llm.common import keyed_texts, table, uncollected
 from chronoload.session import stage
 
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 WORDS_AT_ONCE = 1 << 15
 _NONE = np.empty(0, np.int32)
 SPACE = "▁"
@@ -234,7 +234,8 @@ def _block_row(block: int, ids: list, texts: Sequence[str | None], codecs: Codec
     renumber = np.cumsum(used) - 1  # words that no document uses any more take their pairs along
     return {
         "block": block, "doc_id": ids, "n_a": sums[:, 0].tolist(), "n_b": sums[:, 1].tolist(), "n_groups": sums[:, 2].tolist(),
-        "n_links": sums[:, 3].tolist(), "groups_sha256": hashes, "size": size.tolist(), "words": words.tobytes(),
+        "n_links": sums[:, 3].tolist(), "groups_sha256": hashes, "size": size.tolist(),
+        "words": words.astype(np.uint16 if len(groups) <= 1 << 16 else np.int32).tobytes(),
         "link_sizes": np.where(uses > 0, link_sizes, 0).astype(np.int32).tobytes(),
         "links": renumber[links[np.repeat(uses > 0, link_sizes)]].astype(np.int32).tobytes(),
         "pairs": pairs[used].tobytes(), "pair_n": pair_n[used].tobytes(),
@@ -314,9 +315,11 @@ def alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 r = {f: batch.column(c)[k] for c, f in enumerate(batch.schema.names)}
                 count = r["count"].values.to_numpy() if r["count"].is_valid else np.empty(0, np.int64)
                 best = r["best"].values.to_numpy(zero_copy_only=False) if r["best"].is_valid else np.empty(0, bool)
-                links, link_sizes, words = (np.frombuffer(r[c].as_py(), np.int32) for c in ("links", "link_sizes", "words"))
+                links, link_sizes = (np.frombuffer(r[c].as_py(), np.int32) for c in ("links", "link_sizes"))
+                size, words = r["size"].values.to_numpy(), r["words"].as_py()
+                words = np.frombuffer(words, np.uint16 if len(words) == 2 * size.sum() else np.int32)
                 of_word = _sums(np.stack([best[links].astype(np.int64), count[links]], 1), link_sizes)
-                sums = _sums(of_word[words], r["size"].values.to_numpy())
+                sums = _sums(of_word[words], size)
                 columns = {c: r[c].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
                 columns |= {"n_best": pa.array(sums[:, 0]), "count_sum": pa.array(sums[:, 1])}
                 yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
