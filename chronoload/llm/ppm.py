@@ -440,17 +440,25 @@ def score(docs: DataFrame, hold: tuple[int, int] = HOLD, block: int = BLOCK) ->
         data = unpress.decompress(text["data"])
         size = index["size"].to_numpy()
         ends = np.cumsum(size)
-        parts = [_unpack(b, "<u8", "<f8") for b in pdf["data"][kind == "gram"]]
-        codes = np.concatenate([p[0] for p in parts])
-        value = np.concatenate([p[1] for p in parts])
+        codes, value = [], []
+        for blob in pdf["data"][kind == "gram"]:
+            own = _unpack(blob, "<u8", "<f8")
+            codes.append(own[0])
+            value.append(own[1])
+        codes, value = np.concatenate(codes), np.concatenate(value)
         find = _finder(codes)
-        count: dict[bytes, int] = {}
+        # one look-up a token; its logarithm and whether training holds it are arrays
+        place: dict[bytes, int] = {}
+        log, known = [], []
         for names, number in zip(pdf["data"][kind == "token"], pdf["more"][kind == "token"], strict=True):
-            count.update(zip(unpress.decompress(names).split(b"\n"), np.frombuffer(number, "<u8").tolist(), strict=True))
-        log = {w: math.log10(c + 1) for w, c in count.items()}
+            counts = np.frombuffer(number, "<u8")
+            place.update(zip(unpress.decompress(names).split(b"\n"), range(len(place), len(place) + len(counts)), strict=True))
+            log.append(np.fromiter((math.log10(c + 1) for c in counts.tolist()), np.float64, len(counts)))
+            known.append(counts > 0)
+        log, known = np.concatenate(log), np.concatenate(known)
+        del pdf, text, kind
         norm = math.log10(n_train + kinds + 1)
-        end_known, end_log = int(count[b""] > 0), log[b""]
-        known_words = {w for w, c in count.items() if c > 0}
+        end_known, end_log = int(known[place[b""]]), float(log[place[b""]])
         n_tokens, n_known, base, model_score = [], [], [], []
         a = 0
         while a < len(size):  # some whole documents at a time
@@ -461,8 +469,9 @@ def score(docs: DataFrame, hold: tuple[int, int] = HOLD, block: int = BLOCK) ->
             for k in range(a, b):
                 words = data[int(ends[k] - size[k]) : int(ends[k])].split()
                 n_tokens.append(len(words) + 1)
-                n_known.append(sum(map(known_words.__contains__, words)) + end_known)
-                base.append(math.fsum(map(log.__getitem__, words)) + end_log - (len(words) + 1) * norm)
+                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                n_known.append(int(known[at].sum()) + end_known)
+                base.append(math.fsum(log[at].tolist()) + end_log - (len(words) + 1) * norm)
             a = b
         out = index.select(["doc_id", "held_out"]).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
         return out.assign(n_tokens=n_tokens, n_known=n_known, train_tokens=int(n_train), base_score=base,
