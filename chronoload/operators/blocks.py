@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoload.functions.timefns import steps_since
+from chronoload.operators.keys import join_on
+from chronoload.session import stage
 
 BLOCK_ROWS = 1344  # eight weeks of hours
 EPOCH = "1970-01-01 00:00:00"
@@ -108,3 +110,30 @@ def block_scan(
     return joined.withColumn("_run", running).withColumn(out, merged).select(
         *[F.col(f"`{c}`") for c in df.columns if c != out], out
     )
+
+
+RANGES = 4096
+
+
+def least_before(
+    df: DataFrame, value: str, out: str, series_cols: Sequence[str], order_col: str, range_rows: int = 100_000
+) -> DataFrame:
+    """``df`` with the least ``value`` of the rows before each one in its series, whatever ``order_col`` counts.
+
+    The rows are cut into ranges of (series, order) of about ``range_rows`` rows (``RANGES`` of them at most), so a range
+    is as full where the order is sparse as where it is dense, and a long series spans many ranges. The first level runs
+    inside a range; the second over one least value per series and range. Ties in the order go by the value.
+    """
+    keys = list(series_cols)
+    order = [*keys, order_col]
+    ranges = min(RANGES, max(1, -(-df.count() // range_rows)))
+    ranged = df.repartitionByRange(ranges, *order) if ranges > 1 else df.coalesce(1)
+    # written, so that a range keeps its number whatever is recomputed later
+    rows = stage(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    least = rows.groupBy(*keys, "_range").agg(F.min(value).alias("_least"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = least.select(*keys, "_range", F.min("_least").over(earlier).alias("_carried"))
+    own = Window.partitionBy(*keys, "_range").orderBy(order_col, value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = rows.withColumn("_inside", F.min(value).over(own))
+    joined = join_on(inside, carried, [*keys, "_range"])
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.least("_inside", "_carried").alias(out))

@@ -11,13 +11,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoload.functions.arrays import MAD_TO_SIGMA
 from chronoload.functions.timefns import steps_since, ts_lit
-from chronoload.operators.blocks import BLOCK_ROWS, EPOCH, block_scan, block_window, with_halo, without_halo
+from chronoload.operators.blocks import BLOCK, BLOCK_ROWS, EPOCH, block_scan, block_window, with_halo, without_halo
 from chronoload.operators.keys import join_on
 from chronoload.operators.quantiles import exact_quantiles, quantile_name
 from chronoload.operators.trend import ols_trend, remove_trend
@@ -35,20 +36,35 @@ def _lag_products(
     rows: DataFrame, y: str, max_lag: int, series_cols: Sequence[str], ts_col: str, step_seconds: int,
     block_rows: int | None,
 ) -> DataFrame:
-    """Sum of y(t) * y(t - k) for k = 0..max_lag, per series: ``(series…, lag, product, n)``.
+    """Sum of y(t) * y(t - k) for k = 0..max_lag, per series: ``(series…, lag, product)``.
 
-    Each row meets its last ``max_lag`` values through a window over its block, and the products are
-    summed map-side, so only (series, lag) pairs are shuffled after the windows.
+    A block and the halo before it (at most two block lengths of rows) come to a task as one array of values; each lag is one
+    product of two slices of it, so a block sends on ``max_lag + 1`` sums whatever its length. Nulls add nothing.
     """
-    halo = with_halo(rows.select(*series_cols, ts_col, y), series_cols, ts_col, max_lag, 0, step_seconds, block_rows)
-    frame = block_window(series_cols, ts_col).rowsBetween(-max_lag, 0)
-    paired = halo.withColumn("_recent", F.collect_list(F.struct(F.col(y).alias("v"))).over(frame))
-    pairs = without_halo(paired).select(
-        *series_cols, F.col(y).alias("_now"), F.posexplode(F.reverse("_recent")).alias("lag", "_then")
-    )
-    return pairs.groupBy(*series_cols, "lag").agg(
-        F.sum(F.col("_now") * F.col("_then.v")).alias("product"), F.count("*").alias("pairs")
-    )
+    keys = list(series_cols)
+    values = rows.select(*keys, ts_col, F.col(y).cast("double").alias("_y"))
+    halo = with_halo(values, keys, ts_col, max_lag, 0, step_seconds, block_rows).select(*keys, BLOCK, ts_col, "_y", "_halo")
+    fields = {f.name: f for f in halo.schema}
+    schema = T.StructType([*[fields[k] for k in keys], T.StructField("lag", T.LongType()), T.StructField("product", T.DoubleType())])
+
+    def products(block: pa.Table) -> pa.Table:
+        block = block.sort_by(ts_col)
+        column = block["_y"].combine_chunks()
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        v = np.where(there, column.to_numpy(zero_copy_only=False), 0.0)
+        own = int(np.count_nonzero(block["_halo"].to_numpy()))  # the halo is earlier than the block's own rows
+        lags, sums = [], []
+        for lag in range(min(max_lag, len(v) - 1) + 1):
+            first = max(own, lag)
+            if first < len(v):
+                met = (there[first:] & there[first - lag : len(v) - lag]).any()
+                lags.append(lag)
+                sums.append(float(v[first:] @ v[first - lag : len(v) - lag]) if met else None)
+        own_keys = [block[k].slice(0, 1).combine_chunks().take(pa.array([0] * len(lags), pa.int64())) for k in keys]
+        return pa.Table.from_arrays([*own_keys, pa.array(lags, pa.int64()), pa.array(sums, pa.float64())], names=schema.names)
+
+    blocks = halo.groupBy(*keys, BLOCK).applyInArrow(products, schema)
+    return blocks.groupBy(*keys, "lag").agg(F.sum("product").alias("product"))
 
 
 def acf(

@@ -13,7 +13,7 @@ from chronoload.operators.scores import correlations, residuals
 from chronoload.training.additive import AdditiveModel, additive_search, fit_additive, spec_of
 from chronoload.training.fit import fit_final, predict, safe_names, with_safe_names
 from chronoload.training.importance import permutation_importance
-from chronoload.training.runs import append_runs, best_run, next_run_number, read_runs, run_record
+from chronoload.training.runs import append_runs, best_run, claim_run_number, run_record, store_tables
 from chronoload.training.search import best_trial, random_search
 
 
@@ -33,7 +33,10 @@ def train_model(
     trials: int = 10, n_splits: int = 4, metric: str = "rmse", seed: int = 42, ts_col: str = "timestamp",
     key_cols: Sequence[str] = ("timestamp",), repeats: int = 5,
 ) -> Trained:
-    """Random search with time-ordered folds; one parent run with the best trial, one child per trial."""
+    """Random search with time-ordered folds; one parent run with the best trial, one child per trial.
+
+    Correlations, importances and residuals are stored under the run and read back.
+    """
     if model_name == "Prophet":
         raise ValueError("train_additive fits the regression on trend, seasons and holidays")
     spark = frame.sparkSession
@@ -43,7 +46,7 @@ def train_model(
     train, test = train_rows(rows, split_date, ts_col), test_rows(rows, split_date, ts_col)
     results = random_search(train, features, target, model_name, space, trials, n_splits, metric, seed, ts_col)
     best = best_trial(results, metric)
-    number = next_run_number(read_runs(spark, runs_path), model_name, experiment)
+    number = claim_run_number(spark, runs_path, model_name, experiment)
     parent = run_record(
         experiment, model_name, "parent", run_number=number, params=best["params"],
         metrics={f"best_{metric}": float(best[metric])}, tags={"feature_set_version": version},
@@ -55,15 +58,13 @@ def train_model(
     ]
     model = fit_final(train, features, target, model_name, best["params"], seed)
     model.write().overwrite().save(f"{models_path}/{parent['run_id']}")
-    append_runs(spark, runs_path, [parent, *children])
-    return Trained(
-        parent["run_id"],
-        model,
-        results,
-        correlations(train, features, target),
-        permutation_importance(model.stages[-1], train, features, target, key_cols, repeats, seed),
-        residuals(predict(model, test), target, "prediction", [ts_col]),
-    )
+    tables = store_tables(models_path, parent["run_id"], {
+        "correlations": correlations(train, features, target),
+        "importances": permutation_importance(model.stages[-1], train, features, target, key_cols, repeats, seed),
+        "residuals": residuals(predict(model, test), target, "prediction", [ts_col]),
+    })
+    append_runs(spark, runs_path, [parent, *children])  # last: a run that is listed is whole
+    return Trained(parent["run_id"], model, results, **tables)
 
 
 @dataclass
@@ -86,7 +87,7 @@ def train_additive(
     train, test = train_rows(frame, split_date, ts_col), test_rows(frame, split_date, ts_col)
     results = additive_search(train, target, space, trials, n_splits, seed, ts_col)
     best = best_trial(results, metric)
-    number = next_run_number(read_runs(spark, runs_path), "Prophet", experiment)
+    number = claim_run_number(spark, runs_path, "Prophet", experiment)
     parent = run_record(
         experiment, "Prophet", "parent", run_number=number, params=best["params"], metrics={f"best_{metric}": float(best[metric])})
     children = [
@@ -97,8 +98,10 @@ def train_additive(
     model = fit_additive(train, target, spec_of(best["params"]), ts_col)
     cells = [*model.coefficients.items(), ("sigma", model.sigma)]
     spark.createDataFrame(cells, "name string, value double").write.parquet(f"{models_path}/{parent['run_id']}")
+    errors = residuals(model.predict(test, ts_col), target, "prediction", [ts_col])
+    tables = store_tables(models_path, parent["run_id"], {"residuals": errors})
     append_runs(spark, runs_path, [parent, *children])
-    return TrainedAdditive(parent["run_id"], model, results, residuals(model.predict(test, ts_col), target, "prediction", [ts_col]))
+    return TrainedAdditive(parent["run_id"], model, results, tables["residuals"])
 
 
 def load_best(spark, runs_path: str, models_path: str, experiment: str, metric: str = "rmse") -> tuple[PipelineModel, object]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,6 +16,7 @@ from chronoload.functions.arrays import MAD_TO_SIGMA
 from chronoload.functions.timefns import steps_since
 from chronoload.operators.seasonal import SLOT, frozen_mad_flags, with_slot
 from chronoload.session import new_path
+from chronoload.streaming.ordered import OrderedCounts
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,31 +48,39 @@ def frozen_flags(
 
 
 class _SlotHistory(StatefulProcessor):
-    """Keeps the values of one (series, hour, weekday) and judges each new one on those before it."""
+    """Keeps the values of one (series, hour, weekday) in order and judges each new one on those before it.
+
+    The state is a map of small nodes (``ordered``), so a new row reads and writes a few of them whatever has come before.
+    """
 
     def __init__(self, ts_col: str, value: str, k: float, min_samples: int, columns: list[str], out: str):
         self.ts_col, self.value, self.k, self.min_samples = ts_col, value, k, min_samples
         self.columns, self.out = columns, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.past = handle.getListState("past", T.StructType([T.StructField("v", T.DoubleType())]))
+        self.past = handle.getMapState("past", "name string", "vals array<double>, counts array<bigint>")
+
+    def _read(self, name: str):
+        if not self.past.containsKey((name,)):
+            return None
+        values, counts = self.past.getValue((name,))
+        return list(values), list(counts)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values(self.ts_col, kind="stable")
-        seen = np.array([v for (v,) in self.past.get()], dtype=float) if self.past.exists() else np.zeros(0)
-        new = batch[self.value].to_numpy(dtype=float)
         flags = np.zeros(len(batch), dtype="int32")
-        there = ~np.isnan(new)  # missing values are flagged 0 and leave no trace in the state, as in the batch rule
-        values = np.concatenate([seen, new[there]])
-        known = len(seen) + np.cumsum(there) - there
-        for i, (x, pos) in enumerate(zip(new, batch["grid_pos"], strict=True)):
-            before = values[: known[i]]
-            if not there[i] or pos < self.min_samples or not len(before):
+        seen = OrderedCounts(self._read)
+        values = batch[self.value].to_numpy(dtype=float).tolist()
+        for i, (x, pos) in enumerate(zip(values, batch["grid_pos"], strict=True)):
+            if math.isnan(x):  # missing values are flagged 0 and leave no trace in the state, as in the batch rule
                 continue
-            median = np.median(before)
-            sigma = MAD_TO_SIGMA * np.median(np.abs(before - median))
-            flags[i] = int(sigma > 0 and abs(x - median) > self.k * sigma)
-        self.past.appendList([(float(x),) for x in new[there]])
+            if pos >= self.min_samples and len(seen):
+                median = seen.median()
+                sigma = MAD_TO_SIGMA * seen.deviation(median)
+                flags[i] = int(sigma > 0 and abs(x - median) > self.k * sigma)
+            seen.add(x)
+        for name, node in seen.changed().items():
+            self.past.updateValue((name,), node)
         yield batch.assign(**{self.out: flags})[[*self.columns, self.out]]
 
     def close(self) -> None:
@@ -82,7 +92,8 @@ def expanding_flags(
     ts_col: str = "timestamp", out: str = "outlier", step_seconds: int = 3600,
 ) -> DataFrame:
     """The expanding seasonal rule with keyed state. A key's rows must arrive in time order between
-    micro-batches; inside one they are sorted. The state grows by one value per week."""
+    micro-batches; inside one they are sorted. The state grows by one value per week, and the work
+    of a row by its logarithm."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     slotted = with_slot(stream, ts_col)

@@ -19,23 +19,32 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean RMSE increase per feature when its values are shuffled: ``(feature, importance, std)``.
 
-    ``model`` is a fitted regressor on a ``features`` vector. A shuffle puts every row's values on its
-    successor in a seeded hash order, within random buckets of bounded size, so no task orders all rows.
-    All (repeat, feature) pairs are scored in one frame.
+    ``model`` is a fitted regressor on a ``features`` vector. A repeat has one cyclic order of all rows, by
+    ``md5(seed|repeat|key)`` with the keys as text (null: empty), and every row takes the values of the row before it. The
+    order is cut into ranges of the digest, which are even by construction; the first row of a range takes the last
+    row of the range before, so the result does not depend on how many there are. ``key_cols`` should name a row; rows
+    that share a key stand in the order of their values. All (repeat, feature) pairs are scored in one frame.
     """
     rows = df.count() if rows is None else rows
-    buckets = max(1, rows // ROWS_PER_BUCKET)
+    ranges = min(1 << 16, max(1, rows // ROWS_PER_BUCKET))
     base = df.select(
         *[quoted(k) for k in key_cols],
         F.col(target).cast("double").alias("_y"),
         F.array(*[quoted(f).cast("double") for f in features]).alias("_x"),
     ).where(F.col("_y").isNotNull() & ~F.exists("_x", lambda x: x.isNull()))
     copies = base.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    order = F.xxhash64(F.lit(seed), F.col("_repeat"), *[quoted(k) for k in key_cols])
-    keyed = copies.withColumn("_h", order).withColumn("_bucket", F.pmod(F.xxhash64("_h"), F.lit(buckets)))
-    part = Window.partitionBy("_repeat", "_bucket").orderBy("_h")
-    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shuffled = keyed.withColumn("_other", F.coalesce(F.lag("_x", 1).over(part), F.last("_x").over(whole)))
+    keys = [F.coalesce(quoted(k).cast("string"), F.lit("")) for k in key_cols]
+    keyed = copies.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_repeat").cast("string"), *keys)))
+    place = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
+    keyed = keyed.withColumn("_range", F.floor(place * ranges / F.lit(1 << 16)).cast("int"))
+    part = Window.partitionBy("_repeat", "_range").orderBy("_h", "_y", "_x")
+    # one row a range: its last values, handed to the next range that has rows, and from the last range to the first
+    ends = keyed.groupBy("_repeat", "_range").agg(F.max_by("_x", F.struct("_h", "_y", "_x")).alias("_end"))
+    along = Window.partitionBy("_repeat").orderBy("_range")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = ends.select("_repeat", "_range", F.coalesce(F.lag("_end").over(along), F.last("_end").over(whole)).alias("_edge"))
+    shuffled = keyed.withColumn("_before", F.lag("_x").over(part)).join(edges, ["_repeat", "_range"])
+    shuffled = shuffled.withColumn("_other", F.coalesce("_before", "_edge"))
     variants = shuffled.select(
         "_repeat", "_y", "_x", "_other", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_f")
     )

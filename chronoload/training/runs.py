@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from hashlib import sha256
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoload.operators.blocks import block_scan
+from chronoload.operators.blocks import least_before
 from chronoload.session import is_missing
 
 RUN_SCHEMA = (
@@ -57,6 +59,50 @@ def next_run_number(runs: DataFrame, model: str, experiment: str | None = None)
     return (mine.agg(F.max("run_number")).first()[0] or 0) + 1
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Make an empty file unless it is there; of several writers one gets True.
+
+    The store must make a file and refuse an existing one in a single step, as HDFS and local disks do.
+    """
+    java = spark._jvm.java
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    if store.getScheme() == "file":  # its ``create`` looks first and writes later
+        return java.io.File(target.toUri().getPath()).createNewFile()
+    try:
+        store.create(target, False).close()
+    except Py4JJavaError as refused:
+        if refused.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException" or store.exists(target):
+            return False
+        raise
+    return True
+
+
+def claim_run_number(spark: SparkSession, path: str, model: str, experiment: str) -> int:
+    """A run number of (experiment, model) that no other writer has or gets; a run that fails leaves a gap.
+
+    The claims are empty files in ``_claims`` of the run table's folder, which Spark does not read as data.
+    """
+    number = next_run_number(read_runs(spark, path), model, experiment)
+    owner = sha256(f"{experiment}\0{model}".encode()).hexdigest()[:32]
+    while not claim(spark, f"{path.rstrip('/')}/_claims/{owner}/{number:09d}"):
+        number += 1
+    return number
+
+
+def store_tables(models_path: str, run_id: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write a run's evaluation tables beside its model and return them as read back."""
+    for name, df in tables.items():
+        df.write.parquet(f"{models_path}/{run_id}-{name}")
+    return {name: read_table(df.sparkSession, models_path, run_id, name) for name, df in tables.items()}
+
+
+def read_table(spark: SparkSession, models_path: str, run_id: str, name: str) -> DataFrame:
+    """A run's table: ``correlations``, ``importances`` or ``residuals``."""
+    return spark.read.parquet(f"{models_path}/{run_id}-{name}")
+
+
 def next_run_numbers(runs: DataFrame) -> DataFrame:
     """Next number per model."""
     return (
@@ -104,11 +150,13 @@ def experiment_metrics(runs: DataFrame) -> DataFrame:
 
 
 def champion_trace(
-    trials: DataFrame, value: str, trial_col: str = "trial", study_cols: Sequence[str] = (), block_rows: int = 1344
+    trials: DataFrame, value: str, trial_col: str = "trial", study_cols: Sequence[str] = (), block_rows: int = 100_000
 ) -> DataFrame:
-    """Per trial: best value so far, whether this trial improved it, and by how many percent."""
-    pos = F.col(trial_col).cast("long")
-    seen = block_scan(trials, F.col(value), "_before", "min", study_cols, pos, trial_col, block_rows, inclusive=False)
+    """Per trial: best value so far, whether this trial improved it, and by how many percent.
+
+    Trial numbers may be sparse; a study of any length spreads over ranges of about ``block_rows`` trials.
+    """
+    seen = least_before(trials, value, "_before", study_cols, trial_col, block_rows)
     best = F.least(F.col("_before"), F.col(value))
     improved = F.coalesce(F.col(value) < F.col("_before"), F.lit(True))
     pct = F.abs(F.col("_before") - F.col(value)) / F.col(value) * 100

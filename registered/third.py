@@ -16,7 +16,7 @@ from chronoload.plans import select as SE
 from chronoload.plans import train as TN
 from chronoload.session import new_path, stage
 from chronoload.sources import stages as ST
-from chronoload.training import additive, fit, folds, forecast, importance, search, selection, smoothing
+from chronoload.training import additive, fit, folds, forecast, importance, runs, search, selection, smoothing
 from chronoload.training.registry import build_model
 from registered import views as v
 from registered.first import PERIOD, PIECES_SQL, TRIM_SQL, _incident_file, _session_file
@@ -264,6 +264,54 @@ def l9(spark, sf):
     return v.r(importance.permutation_importance(model.stages[-1], train, FEATURES, "load", ["event_type", "timestamp"], 5, 42))
 
 
+_LAG24 = "(SELECT event_type, timestamp, load, lag(load, 24) OVER (PARTITION BY event_type ORDER BY timestamp) AS x FROM load_hourly)"
+
+
+def _shuffled_sql(rows, key, repeats, seed=42):
+    """Errors of the one-lag model per repeat: as it is, and with each row holding the lag of the row before it in digest order."""
+    return f"""ordered AS (SELECT rep, load, x, coalesce(lag(x) OVER w, first_value(x) OVER (PARTITION BY rep ORDER BY h DESC)) AS other
+    FROM (SELECT *, md5('{seed}|' || rep || '|' || {key}) AS h FROM {rows}, (SELECT unnest(generate_series(0, {repeats - 1})) AS rep)) WINDOW w AS (PARTITION BY rep ORDER BY h)),
+  rises AS (SELECT rep, sqrt(avg(power(load - (s * other + i), 2))) - sqrt(avg(power(load - (s * x + i), 2))) AS rise FROM ordered, fit GROUP BY 1)"""
+
+
+_ONE_LAG = f"""known AS (SELECT * FROM {_LAG24} WHERE x IS NOT NULL), learn AS (SELECT * FROM known WHERE timestamp < TIMESTAMP '{SPLIT}'),
+  fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM learn), """
+_ROW_KEY = "event_type || '|' || strftime(timestamp, '%Y-%m-%d %H:%M:%S')"
+
+
+@register("l9_permutation_importance_one_lag", with_views("load_hourly", _ONE_LAG + _shuffled_sql("learn", _ROW_KEY, 5) + f"""
+  SELECT 'load_lag_24' AS feature, {q('avg(rise)', 'importance', 4)}, {q('stddev_pop(rise)', 'std', 4)} FROM rises"""))
+def l9s(spark, sf):
+    frame = stage(windows.history_features(v.load_hourly(spark, sf), {"load": [24]}, series_cols=KEY).dropna(), "frame")
+    train = C.train_rows(frame, SPLIT, "timestamp")
+    model = fit.fit_final(train, ["load_lag_24"], "load", "Linear")
+    return v.r(importance.permutation_importance(model.stages[-1], train, ["load_lag_24"], "load", ["event_type", "timestamp"], 5, 42), 4)
+
+
+@register("l5_o11_stored_run_tables", with_views("load_hourly", _ONE_LAG + _shuffled_sql("learn", _ROW_KEY, 2) + f"""
+  SELECT 'correlations' AS part, {q('corr(x, load)', 'value', 4)} FROM learn UNION ALL SELECT 'importances', {q('avg(rise)', 'value', 4)} FROM rises
+  UNION ALL SELECT 'residuals', {q('sqrt(avg(power(load - (s * x + i), 2)))', 'value', 4)} FROM known, fit WHERE timestamp >= TIMESTAMP '{SPLIT}'
+  UNION ALL SELECT 'run_number', 2"""))
+def l5t(spark, sf):
+    frame = stage(windows.history_features(v.load_hourly(spark, sf), {"load": [24]}, series_cols=KEY).dropna(), "frame")
+    frame = frame.select("event_type", "timestamp", "load", "load_lag_24")
+    runs_path, models = new_path(spark, "runs"), new_path(spark, "models")
+    for _ in range(2):  # the second run gets a number of its own
+        done = TN.train_model(frame, ["load_lag_24"], "load", SPLIT, "Linear", {}, runs_path, models, "demo", trials=1, n_splits=3,
+                              key_cols=["event_type", "timestamp"], repeats=2)
+    stored = {name: runs.read_table(spark, models, done.run_id, name) for name in ("correlations", "importances", "residuals")}
+    parts = [
+        stored["correlations"].select(F.lit("correlations").alias("part"), F.col("correlation").alias("value")),
+        stored["importances"].select(F.lit("importances"), "importance"),
+        stored["residuals"].select(F.lit("residuals"), F.col("residual")).groupBy("residuals").agg(F.sqrt(F.avg(F.col("residual") * F.col("residual")))),
+        runs.read_runs(spark, runs_path).where(F.col("run_id") == done.run_id).select(F.lit("run_number"), F.col("run_number").cast("double")),
+    ]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.union(more)
+    return v.r(out, 4)
+
+
 # the smoothing recursion per series and parameter triple, with the season as a list
 _L12 = f"""ys AS MATERIALIZED (SELECT event_type, list(load ORDER BY timestamp) AS y FROM load_hourly WHERE timestamp < TIMESTAMP '{SPLIT}' GROUP BY 1),
   grid AS (SELECT a, b, g FROM (SELECT unnest([0.05, 0.2, 0.5]::DOUBLE[]) AS a), (SELECT unnest([0.0, 0.01, 0.1]::DOUBLE[]) AS b), (SELECT unnest([0.05, 0.2, 0.5]::DOUBLE[]) AS g)),
@@ -302,7 +350,6 @@ def l14(spark, sf):
         model, load, _exogenous(frame), "load", SPLIT, HORIZON, series_cols=KEY, trend=trend, series_start=START))
 
 
-_LAG24 = "(SELECT event_type, timestamp, load, lag(load, 24) OVER (PARTITION BY event_type ORDER BY timestamp) AS x FROM load_hourly)"
 
 
 @register("l8_l14_recursive_forecast_one_lag", with_views("load_hourly", f"""fit AS (SELECT regr_slope(load, x) AS s, regr_intercept(load, x) AS i FROM {_LAG24} WHERE timestamp < TIMESTAMP '{SPLIT}' AND x IS NOT NULL),
