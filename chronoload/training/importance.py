@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoload.functions.textfns import quoted
@@ -46,18 +46,27 @@ def permutation_importance(
     shuffled = keyed.withColumn("_before", F.lag("_x").over(part)).join(edges, ["_repeat", "_range"])
     shuffled = shuffled.withColumn("_other", F.coalesce("_before", "_edge"))
     variants = shuffled.select(
-        "_repeat", "_y", "_x", "_other", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_f")
+        "_repeat", "_range", "_y", "_x", "_other", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_f")
     )
     # feature -1 is the unshuffled baseline
     vector = F.transform("_x", lambda x, i: F.when(i == F.col("_f"), F.get(F.col("_other"), i)).otherwise(x))
-    scored = model.transform(variants.select("_repeat", "_f", "_y", array_to_vector(vector).alias("features")))
+    scored = model.transform(variants.select("_repeat", "_range", "_f", "_y", array_to_vector(vector).alias("features")))
     gap = F.col("_y") - F.col("prediction")
-    errors = scored.groupBy("_repeat", "_f").agg(F.sqrt(F.avg(gap * gap)).alias("_rmse"))
+    # a range adds up in its own order and ranges in theirs, so two runs agree to the last bit
+    parts = scored.groupBy("_repeat", "_range", "_f").agg(F.sum(gap * gap).alias("_s"), F.count("*").alias("_c"))
+    errors = parts.groupBy("_repeat", "_f").agg(
+        F.sqrt(_ordered_sum("_range", "_s") / F.sum("_c")).alias("_rmse"))
     # repeats * (features + 1) rows from here on
     baseline = errors.where("_f = -1").select("_repeat", F.col("_rmse").alias("_base"))
+    rises = errors.where("_f >= 0").join(baseline, "_repeat").withColumn("_rise", F.col("_rmse") - F.col("_base"))
     names = F.array(*[F.lit(f) for f in features])
-    return (
-        errors.where("_f >= 0").join(baseline, "_repeat")
-        .groupBy(F.get(names, F.col("_f")).alias("feature"))
-        .agg(F.avg(F.col("_rmse") - F.col("_base")).alias("importance"), F.stddev_pop(F.col("_rmse") - F.col("_base")).alias("std"))
-    )
+    means = rises.groupBy("_f").agg((_ordered_sum("_repeat", "_rise") / F.count("*")).alias("importance"))
+    far = rises.join(means, "_f").withColumn("_far", (F.col("_rise") - F.col("importance")) ** 2)
+    return far.groupBy("_f").agg(
+        F.first("importance").alias("importance"), F.sqrt(_ordered_sum("_repeat", "_far") / F.count("*")).alias("std")
+    ).select(F.get(names, F.col("_f")).alias("feature"), "importance", "std")
+
+
+def _ordered_sum(order: str, value: str) -> Column:
+    listed = F.array_sort(F.collect_list(F.struct(order, value)))
+    return F.aggregate(listed, F.lit(0.0), lambda total, x: total + x[value])
