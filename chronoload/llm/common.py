@@ -32,6 +32,14 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """The column's values as UTF-8 bytes, without a detour through ``str``."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()

@@ -209,9 +209,9 @@ class Field:
     def __init__(self, names: list[str], odds, weight, share, transition, start) -> None:
         self.names, self.odds, self.weight = names, odds, weight
         self.share, self.transition, self.start = share, transition, start
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.row: dict[str, int] = {}
         self.used = 0
         self.many: list[np.ndarray] = []
@@ -222,7 +222,7 @@ class Field:
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
-        self._forget()
+        self.forget()
 
     def _learn(self, fresh: list[str]) -> None:
         """Emission rows of words not met before; -1 for those without a letter, -2 - k for those with rows ``many[k]``."""
@@ -272,7 +272,7 @@ class Field:
 
     def _group(self, texts, group, names, scores) -> None:
         if len(self.row) > _MEMO or self.used > _MEMO:
-            self._forget()
+            self.forget()
         get = self.row.get
         texts_words = [texts[i].split() for i in group]
         fresh = {w for words in texts_words for w in words if w not in self.row}
@@ -309,6 +309,7 @@ def _lexicon(train: DataFrame, names: list[str]) -> np.ndarray:
                 slots = _slots(text.as_py())
                 if len(slots):
                     total[number[lang]] += np.bincount(slots, minlength=LEXICON)
+        _slot_of.cache_clear()  # the worker lives on
         y, slot = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot, pa.int32()), pa.array(y, pa.int32()), pa.array(total[y, slot])], names=["slot", "y", "n"])
@@ -378,8 +379,12 @@ def predict(docs: DataFrame, field: Field, hold: tuple[int, int] = HOLD) -> Data
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` with all its columns, without texts that have no letter or whose best mean marginal is too low."""
-    sent = docs.sparkSession.sparkContext.broadcast(train_field(docs))
+    """``docs`` with all its columns, without texts that have no letter or whose best mean marginal is too low; all of them
+    if no document has a language to learn from."""
+    field = train_field(docs)
+    if not field.names:  # nothing to learn from
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(field)
 
     def keep(batches):
         for batch in batches:
@@ -387,6 +392,7 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
                 names, scores = sent.value.predict(batch.column(batch.schema.get_field_index("text")).to_pylist())
             good = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_()))
+        sent.value.forget()  # the worker lives on
 
     return docs.mapInArrow(keep, docs.schema)
 

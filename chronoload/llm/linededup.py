@@ -8,9 +8,12 @@ tables in the shared folder,
 * ``filters`` (shard, table): a cuckoo filter of each shard's keys.
 
 ``insert`` asks the filters first: a key that a filter does not know is new for certain and is appended without a look
-at ``refs``; only the others are joined with it. ``delete`` lowers the counts, takes keys that reach 0 out of table and
-filter, and finds the next largest holder of the others. Counts are summed before they are shuffled, so a line that a
-third of all documents hold is one row a task. A filter that gets too full is built anew, larger, from its shard's keys.
+at ``refs``; only the others are joined with it, and those that ``refs`` does not hold are new as well. Every new key leaves
+a mark of its own in its filter, also where the filter knew that mark from another key, so that a deletion never takes away
+what a key that stays needs. ``delete`` lowers the counts, takes keys that reach 0 out of table and filter, and finds the
+next largest holder of the others. Counts are summed before they are shuffled, so a line that a third of all documents hold
+is one row a task. A filter that gets too full is built anew, larger, from its shard's keys; there are more shards once
+they hold twice the keys meant for them. A whole table is loaded in ``LOADS`` insertions, dealt by doc_id.
 
 Defined results: a null or empty text is one empty line; keys of fewer than ``min_chars`` code points are never dropped;
 a line repeated inside a document counts once; each row is a document, and rows that share the largest doc_id all keep
@@ -21,19 +24,19 @@ columns are carried by ``drop_lines`` and ignored by the rest.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoload.llm.common import LOWER, keyed_texts, table, texts_of
+from chronoload.llm.common import LOWER, keyed_texts, table, texts_of, unused
 from chronoload.session import prepare, stage
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+LOADS = 3
 KEYS_PER_SHARD = 1 << 17
 _WHITE = b" \t\n\x0b\x0c\r"
 _SLOTS = 4
@@ -163,30 +166,44 @@ def _with_shard(df: DataFrame, shards: int) -> DataFrame:
     return df.withColumn("shard", F.pmod(F.col("h2"), F.lit(shards)).cast("int"))
 
 
-def _hash64(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf["h1"].to_numpy().astype(np.int64).view(np.uint64)
+def _hash64(keys: pa.Table) -> np.ndarray:
+    return keys["h1"].to_numpy().astype(np.int64).view(np.uint64)
 
 
-def _probe(keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    """The batch's keys of a shard with ``known``, and a row with the shard's new filter."""
-    hashes = _hash64(keys)
-    shard = int((keys if len(keys) else filters)["shard"].iloc[0])
+def _probe(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """The keys of a shard, and whether its filter knows them."""
     known = np.zeros(len(keys), bool)
-    if len(filters):
-        own = CuckooFilter.load(filters["table"].iloc[0])
-        known = own.contains(hashes)
-        full = not own.insert(hashes[~known])
-        data = b"" if full else own.dump()  # empty: to be built anew from the shard's keys
-    else:
-        data = CuckooFilter.of(np.unique(hashes)).dump()
-    out = keys[["shard", "h1", "h2", "n", "largest"]].assign(known=known, table=None)
-    mark = pd.DataFrame({"shard": [shard], "h1": [None], "h2": [None], "n": [None], "largest": [None],
-                         "known": [None], "table": [data]})
-    both = pd.concat([out.astype(object), mark.astype(object)], ignore_index=True)
-    return both.where(both.notna(), None)
+    if len(filters) and len(keys):
+        known = CuckooFilter.load(filters["table"][0].as_py()).contains(_hash64(keys))
+    return keys.select(["h1", "h2", "n", "largest"]).append_column("known", pa.array(known))
 
 
-_PROBED = "shard int, h1 long, h2 long, n long, largest long, known boolean, table binary"
+def _filter_row(shard: pa.Scalar, data: bytes) -> pa.Table:
+    return pa.table({"shard": pa.array([shard.as_py()], pa.int32()), "table": pa.array([data], pa.binary())})
+
+
+def _marked(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """A shard's filter with the marks of new keys; empty if it has no room and is to be built anew."""
+    if not len(filters):
+        return _filter_row(keys["shard"][0], CuckooFilter.of(_hash64(keys)).dump())
+    own = CuckooFilter.load(filters["table"][0].as_py())
+    return _filter_row(filters["shard"][0], own.dump() if own.insert(_hash64(keys)) else b"")
+
+
+def _unmarked(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """A shard's filter without the marks of dead keys."""
+    if not len(filters):
+        return filters.select(["shard", "table"])
+    own = CuckooFilter.load(filters["table"][0].as_py())
+    own.remove(_hash64(keys))
+    return _filter_row(filters["shard"][0], own.dump())
+
+
+def _built(keys: pa.Table) -> pa.Table:
+    return _filter_row(keys["shard"][0], CuckooFilter.of(_hash64(keys)).dump())
+
+
+_FILTER = "shard int, table binary"
 
 
 @dataclass(frozen=True)
@@ -205,32 +222,40 @@ class LineIndex:
         return LineIndex(spark, max(1, -(-expected_keys // KEYS_PER_SHARD)))
 
     def _filters_of(self, keys: DataFrame) -> DataFrame:
-        def build(pdf: pd.DataFrame) -> pd.DataFrame:
-            made = CuckooFilter.of(np.unique(_hash64(pdf)))
-            return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "table": [made.dump()]})
+        return _with_shard(keys, self.shards).select("shard", "h1").groupBy("shard").applyInArrow(_built, _FILTER)
+
+    def _with_filters(self, keys: DataFrame, change, schema: str) -> DataFrame:
+        sharded = _with_shard(keys, self.shards)
+        return sharded.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(change, schema)
 
-        return _with_shard(keys, self.shards).select("shard", "h1").groupBy("shard").applyInPandas(
-            build, "shard int, table binary")
+    def _roomier(self) -> LineIndex:
+        """With more shards, once they hold twice the keys meant for them."""
+        keys = self.refs.count()
+        if keys <= 2 * self.shards * KEYS_PER_SHARD:
+            return self
+        wider = replace(self, shards=-(-keys // KEYS_PER_SHARD))
+        return replace(wider, filters=stage(wider._filters_of(self.refs), "line-filters"))
 
     def insert(self, posts: DataFrame) -> LineIndex:
         """``posts`` as of ``line_keys``, of documents that are not in the index."""
-        batch = _with_shard(_counts(posts), self.shards)
+        batch = _counts(posts)
         if self.refs is None:
-            refs = stage(batch.select("h1", "h2", "n", "largest"), "line-refs")
-            return LineIndex(self.spark, self.shards, refs, posts, stage(self._filters_of(refs), "line-filters"))
-        probed = stage(
-            batch.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(_probe, _PROBED), "line-probe")
-        fresh = probed.where("known = false").select("h1", "h2", "n", "largest")
-        known = probed.where("known").select("h1", "h2", "n", "largest")
-        met = self.refs.join(known.select("h1", "h2"), ["h1", "h2"], "left_semi").unionByName(known)
-        met = met.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("largest").alias("largest"))
-        rest = self.refs.join(known.select("h1", "h2"), ["h1", "h2"], "left_anti")
-        refs = stage(rest.unionByName(met).unionByName(fresh), "line-refs")
-        filters = probed.where("table is not null").select("shard", "table")
-        full = filters.where(F.length("table") == 0).select("shard")
+            refs = stage(batch, "line-refs")
+            return replace(self, refs=refs, posts=posts, filters=stage(self._filters_of(refs), "line-filters"))._roomier()
+        probed = self._with_filters(batch, _probe, "h1 long, h2 long, n long, largest long, known boolean")
+        probed = stage(probed, "line-probe")
+        known = probed.where("known").select("h1", "h2", F.col("n").alias("n2"), F.col("largest").alias("largest2"))
+        met = self.refs.join(known, ["h1", "h2"], "full_outer").select(
+            "h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"),
+            F.greatest("largest", "largest2").alias("largest"), F.col("n").isNull().alias("fresh"))
+        unknown = probed.where("not known").select("h1", "h2", "n", "largest", F.lit(True).alias("fresh"))
+        merged = stage(met.unionByName(unknown), "line-refs")
+        refs = merged.drop("fresh")
+        marked = stage(self._with_filters(merged.where("fresh").select("h1", "h2"), _marked, _FILTER), "line-marks")
+        full = marked.where(F.length("table") == 0).select("shard")
         again = self._filters_of(_with_shard(refs, self.shards).join(full, "shard", "left_semi").drop("shard"))
-        filters = stage(filters.where(F.length("table") > 0).unionByName(again), "line-filters")
-        return LineIndex(self.spark, self.shards, refs, self.posts.unionByName(posts), filters)
+        filters = stage(marked.where(F.length("table") > 0).unionByName(again), "line-filters")
+        return replace(self, refs=refs, posts=self.posts.unionByName(posts), filters=filters)._roomier()
 
     def delete(self, posts: DataFrame) -> LineIndex:
         """``posts`` as of ``line_keys``, of documents that are in the index."""
@@ -241,18 +266,9 @@ class LineIndex:
         again = _counts(left.join(touched, ["h1", "h2"], "left_semi"))
         rest = self.refs.join(touched, ["h1", "h2"], "left_anti")
         refs = stage(rest.unionByName(again), "line-refs")
-        dead = _with_shard(touched.join(refs, ["h1", "h2"], "left_anti"), self.shards)
-
-        def lower(keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-            if not len(filters):
-                return filters[["shard", "table"]]
-            own = CuckooFilter.load(filters["table"].iloc[0])
-            own.remove(_hash64(keys))
-            return pd.DataFrame({"shard": [int(filters["shard"].iloc[0])], "table": [own.dump()]})
-
-        filters = stage(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(
-            lower, "shard int, table binary"), "line-filters")
-        return LineIndex(self.spark, self.shards, refs, left, filters)
+        dead = touched.join(refs, ["h1", "h2"], "left_anti")
+        filters = stage(self._with_filters(dead, _unmarked, _FILTER), "line-filters")
+        return replace(self, refs=refs, posts=left, filters=filters)
 
     def losses(self, posts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         """``doc_id, lost``: the keys each document of ``posts`` loses, as binary digests."""
@@ -278,13 +294,16 @@ def _lost_sets(column: pa.Array):
 
 
 def _judged(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    """``docs`` with ``_lost``, by an index into which all of them were inserted."""
+    """``docs`` and, as last column, what each loses, by an index into which all of them were inserted."""
     spark = prepare(docs.sparkSession)
     posts = stage(line_keys(docs, min_chars), "line-posts")
-    index = LineIndex.empty(spark, posts.count()).insert(posts)
-    lost = index.losses(posts, min_docs).select(F.col("doc_id").alias("_lost_id"), F.col("lost").alias("_lost"))
-    return docs.join(lost, docs["doc_id"] == F.col("_lost_id"), "left").drop("_lost_id").withColumn(
-        "_lost", F.coalesce("_lost", F.array().cast("array<struct<h1:bigint,h2:bigint>>")))
+    index = LineIndex.empty(spark, posts.count())
+    for load in range(LOADS):
+        index = index.insert(posts.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOADS)) == load))
+    loser, lost = unused(docs, "loser"), unused(docs, "lost")
+    losses = index.losses(posts, min_docs).select(F.col("doc_id").alias(loser), F.col("lost").alias(lost))
+    return docs.join(losses, docs["doc_id"] == losses[loser], "left").drop(loser).withColumn(
+        lost, F.coalesce(lost, F.array().cast("array<struct<h1:bigint,h2:bigint>>")))
 
 
 def line_report(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoload.llm.common import SPACED, keyed_texts, table, texts_of
+from chronoload.llm.common import SPACED, keyed_texts, table, texts_of, unused
 from chronoload.llm.components import components
 from chronoload.session import prepare, stage
 
@@ -218,8 +218,9 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with all its columns, keeping of each component the rows with its least doc_id (or with a null id)."""
-    lost = near_duplicates(docs, size, radius).where("doc_id > component_id").select(F.col("doc_id").alias("_near_id"))
-    return docs.join(lost.distinct(), docs["doc_id"] == F.col("_near_id"), "left_anti")
+    name = unused(docs, "lost_id")
+    lost = near_duplicates(docs, size, radius).where("doc_id > component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(lost, docs["doc_id"] == lost[name], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
