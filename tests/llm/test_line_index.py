@@ -61,7 +61,7 @@ def test_any_order_of_insertions_and_deletions_equals_a_fresh_load(spark):
 
 def test_shards_grow_with_the_keys(spark, monkeypatch):
     monkeypatch.setattr(linededup, "KEYS_PER_SHARD", 50)
-    posts = spark.range(400).select((F.col("id") * 7919 * 2**30).alias("h1"), F.col("id").alias("h2"), F.lit(1).cast("long").alias("doc_id"))
+    posts = spark.range(400).select(F.xxhash64("id").alias("h1"), F.col("id").alias("h2"), F.lit(1).cast("long").alias("doc_id"))
     index = linededup.LineIndex.empty(spark, 50).insert(posts.where("h2 < 40"))
     assert index.shards == 1
     index = index.insert(posts.where("h2 >= 40"))
