@@ -309,7 +309,6 @@ def _lexicon(train: DataFrame, names: list[str]) -> np.ndarray:
                 slots = _slots(text.as_py())
                 if len(slots):
                     total[number[lang]] += np.bincount(slots, minlength=LEXICON)
-        _slot_of.cache_clear()  # the worker lives on
         y, slot = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot, pa.int32()), pa.array(y, pa.int32()), pa.array(total[y, slot])], names=["slot", "y", "n"])
