@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ BLOCK = 16 << 20
 HOLD = (7, 2)
 END = 0x0A  # never inside a token
 START = 0x09
-_PART = 1 << 21
+_PART = 1 << 19  # bytes of text looked at together: each takes some 60 bytes of arrays meanwhile
 _GRAM_BYTES = ORDER + 1
 
 
@@ -102,6 +103,35 @@ def grams(data: bytes) -> np.ndarray:
     return code
 
 
+def _stretches(texts: Iterable[bytes]) -> Iterator[tuple[int, list[int], np.ndarray]]:
+    """``grams`` of normal texts, ``_PART`` bytes at most at a time: (place of the first text, the texts' lengths, codes).
+    A longer text comes alone, in pieces that see the bytes before them."""
+    held: list[bytes] = []
+    size = first = 0
+    for k, t in enumerate(texts):
+        if held and size + len(t) > _PART:
+            yield first, [len(x) for x in held], grams(b"".join(held))
+            held, size = [], 0
+        if len(t) > _PART:
+            for at in range(0, len(t), _PART):
+                back = min(at, ORDER)
+                codes = grams(t[at - back : at + _PART])[back:]
+                yield k, [len(codes)], codes
+            continue
+        if not held:
+            first = k
+        held.append(t)
+        size += len(t)
+    if held:
+        yield first, [len(x) for x in held], grams(b"".join(held))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return _counted(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))
+
+
 def _counted(codes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     if weights is None:
         codes = np.sort(codes)
@@ -135,18 +165,16 @@ class _Block:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """All strings of the block with their counts in training texts (0: only in others)."""
-        codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
         for train in (True, False):
-            part, size = [], 0
-            own = [t for t, h in zip(self.texts, self.held, strict=True) if h != train]
-            for k, t in enumerate(own):
-                part.append(t)
-                size += len(t)
-                if size >= _PART or k == len(own) - 1:
-                    c, n = _counted(grams(b"".join(part)))
-                    codes, counts = _counted(np.concatenate([codes, c]), np.concatenate([counts, n * train]))
-                    part, size = [], 0
-        return codes, counts
+            for _, _, codes in _stretches(t for t, h in zip(self.texts, self.held, strict=True) if h != train):
+                c, n = _counted(codes)
+                parts.append((c, n * train))
+                waiting += len(c)
+                if waiting > 1_000_000:
+                    parts, waiting = [_merged(parts)], 0
+        return _merged(parts)
 
     def tokens(self) -> tuple[list[bytes], list[int]]:
         """Distinct tokens with their counts in training texts; the end token is the empty one."""
@@ -432,52 +460,61 @@ def score(docs: DataFrame, hold: tuple[int, int] = HOLD, block: int = BLOCK) ->
     every = rows.where("kind = 'text'").select(columns).unionByName(answers).unionByName(
         tokens.where("kind = 'token'").select(columns))
 
-    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        kind = pdf["kind"].to_numpy()
+    def judge(rows: pa.Table) -> pa.Table:
+        kind = np.array(rows.column("kind").to_pylist())
         unpress = zstandard.ZstdDecompressor()
-        text = pdf[kind == "text"].iloc[0]
-        index = pa.ipc.open_stream(text["more"]).read_all()
-        data = unpress.decompress(text["data"])
+
+        def blobs(of: str):
+            for i in np.flatnonzero(kind == of).tolist():  # one row's bytes at a time
+                yield rows.column("data")[i].as_py(), rows.column("more")[i].as_py()
+
+        ((packed, sizes),) = blobs("text")
+        index = pa.ipc.open_stream(sizes).read_all()
+        data = unpress.decompress(packed)
         size = index["size"].to_numpy()
         ends = np.cumsum(size)
+        del packed, sizes
+
+        def texts():
+            for n, end in zip(size.tolist(), ends.tolist(), strict=True):
+                yield data[end - n : end]
+
         codes, value = [], []
-        for blob in pdf["data"][kind == "gram"]:
+        for blob, _ in blobs("gram"):
             own = _unpack(blob, "<u8", "<f8")
             codes.append(own[0])
             value.append(own[1])
         codes, value = np.concatenate(codes), np.concatenate(value)
         find = _finder(codes)
+        model_score = np.zeros(len(size))
+        for first, lengths, here in _stretches(texts()):
+            starts = np.cumsum([0, *lengths[:-1]])
+            model_score[first : first + len(lengths)] += np.add.reduceat(value[find(here)], starts)
+        del codes, value, find, here
         # one look-up a token; its logarithm and whether training holds it are arrays
         place: dict[bytes, int] = {}
         log, known = [], []
-        for names, number in zip(pdf["data"][kind == "token"], pdf["more"][kind == "token"], strict=True):
+        for names, number in blobs("token"):
             counts = np.frombuffer(number, "<u8")
             place.update(zip(unpress.decompress(names).split(b"\n"), range(len(place), len(place) + len(counts)), strict=True))
             log.append(np.fromiter((math.log10(c + 1) for c in counts.tolist()), np.float64, len(counts)))
             known.append(counts > 0)
         log, known = np.concatenate(log), np.concatenate(known)
-        del pdf, text, kind
         norm = math.log10(n_train + kinds + 1)
         end_known, end_log = int(known[place[b""]]), float(log[place[b""]])
-        n_tokens, n_known, base, model_score = [], [], [], []
-        a = 0
-        while a < len(size):  # some whole documents at a time
-            b = max(a + 1, int(np.searchsorted(ends, ends[a] - size[a] + _PART, side="right")))
-            lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
-            value_here = value[find(grams(data[lo:hi]))]
-            model_score.append(np.add.reduceat(value_here, ends[a:b] - size[a:b] - lo))
-            for k in range(a, b):
-                words = data[int(ends[k] - size[k]) : int(ends[k])].split()
-                n_tokens.append(len(words) + 1)
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                n_known.append(int(known[at].sum()) + end_known)
-                base.append(math.fsum(log[at].tolist()) + end_log - (len(words) + 1) * norm)
-            a = b
-        out = index.select(["doc_id", "held_out"]).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
-        return out.assign(n_tokens=n_tokens, n_known=n_known, train_tokens=int(n_train), base_score=base,
-                          score=np.concatenate(model_score))
-
-    return every.groupBy("block").applyInPandas(
+        n_tokens, n_known, base = [], [], []
+        for text in texts():
+            words = text.split()
+            n_tokens.append(len(words) + 1)
+            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            n_known.append(int(known[at].sum()) + end_known)
+            base.append(math.fsum(log[at].tolist()) + end_log - (len(words) + 1) * norm)
+        return pa.table({
+            "doc_id": index["doc_id"], "held_out": index["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([int(n_train)] * len(size), pa.int64()),
+            "base_score": pa.array(base, pa.float64()), "score": pa.array(model_score)})
+
+    return every.groupBy("block").applyInArrow(
         judge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double,"
                " score double")
 

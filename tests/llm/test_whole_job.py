@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from chronoload.llm import langid, licenses, pii, simhash
+from chronoload.llm import langid, licenses, pii, ppm, simhash
 
 
 def test_simhash_parts_of_a_split_tile_meet(spark):
@@ -140,3 +141,50 @@ def test_language_of_texts_without_spaces(spark):
     apart = " ".join(langid.pieces(joined[0]))
     assert field.predict([f"abc 12 {joined[0]} def", f"abc {apart} def"])[1][0] == field.predict([f"abc {apart} def"])[1][0]
     assert sorted(langid._slots(joined[0])) == sorted(langid._slots(apart))
+
+
+def test_strings_of_texts_in_pieces(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [ppm.normal(bytes(rng.choice(list(b"ab c"), int(n)))) for n in [*rng.integers(0, 40, 60), 500, 0, 0, 3000, 7]]
+    whole = ppm.grams(b"".join(texts))
+    for part in (1, 5, 17, 100, 1 << 19):
+        monkeypatch.setattr(ppm, "_PART", part)
+        found = list(ppm._stretches(texts))
+        assert all(sum(lengths) == len(codes) <= part for _, lengths, codes in found)
+        assert np.array_equal(np.concatenate([codes for _, _, codes in found]), whole)
+        sizes = np.zeros(len(texts), int)
+        for first, lengths, _ in found:
+            sizes[first : first + len(lengths)] += lengths
+        assert sizes.tolist() == [len(t) for t in texts]
+
+
+def test_memory_of_counting_is_not_that_of_the_longest_text():
+    words = np.random.default_rng(2).integers(0, 300, 1_200_000)
+    block = ppm._Block("0-0")
+    block.add(1, False, ppm.normal(" ".join(f"w{w}" for w in words).encode()))
+    assert block.size > 8 * ppm._PART
+    tracemalloc.start()
+    codes, counts = block.distinct()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(counts.sum()) == block.size and len(codes) < block.size / 100
+    assert peak < 12 * block.size
+
+
+def test_long_texts_are_scored_whole(spark):
+    rng = np.random.default_rng(3)
+    long = " ".join(f"w{w}" for w in rng.integers(0, 400, 260_000))
+    assert len(long) > 2 * ppm._PART
+    texts = [long, "w1 w2 w3", "", "other words", long[: ppm._PART + 3]]
+    rows = {r.doc_id: r for r in ppm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    data = [ppm.normal(t.encode()) for t in texts]
+    codes = [ppm.grams(d) for d in data]
+    every = np.unique(np.concatenate(codes))
+    own, n = np.unique(np.concatenate([c for k, c in enumerate(codes) if not rows[k].held_out]), return_counts=True)
+    counts = np.zeros(len(every), np.int64)
+    counts[np.searchsorted(every, own)] = n
+    low = ppm.Low(*ppm._counted(every & np.uint64(0xFFFF), counts))
+    value = ppm.log_probabilities(every, counts, low)
+    for k, c in enumerate(codes):
+        assert rows[k].n_tokens == len(texts[k].split()) + 1
+        assert rows[k].score == pytest.approx(value[np.searchsorted(every, c)].sum())
