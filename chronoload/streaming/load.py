@@ -48,9 +48,9 @@ def frozen_flags(
 
 
 class _SlotHistory(StatefulProcessor):
-    """Keeps the values of one (series, hour, weekday) in order and judges each new one on those before it.
+    """Judges each new value of one (series, hour, weekday) on those before it, which are kept as a plain list.
 
-    The state is a map of small nodes (``ordered``), so a new row reads and writes a few of them whatever has come before.
+    The list is read whole once a batch; ``_OrderedSlotHistory`` has the same rule over a state that is not.
     """
 
     def __init__(self, ts_col: str, value: str, k: float, min_samples: int, columns: list[str], out: str):
@@ -58,18 +58,22 @@ class _SlotHistory(StatefulProcessor):
         self.columns, self.out = columns, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.past = handle.getMapState("past", "name string", "vals array<double>, counts array<bigint>")
+        self.past = handle.getListState("past", T.StructType([T.StructField("v", T.DoubleType())]))
 
-    def _read(self, name: str):
-        if not self.past.containsKey((name,)):
-            return None
-        values, counts = self.past.getValue((name,))
-        return list(values), list(counts)
+    def _seen(self) -> OrderedCounts:
+        seen = OrderedCounts({}.get)
+        for (x,) in self.past.get() if self.past.exists() else ():
+            seen.add(x)
+        return seen
+
+    def _keep(self, seen: OrderedCounts, new: list[float]) -> None:
+        if new:
+            self.past.appendList([(x,) for x in new])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values(self.ts_col, kind="stable")
         flags = np.zeros(len(batch), dtype="int32")
-        seen = OrderedCounts(self._read)
+        seen, new = self._seen(), []
         values = batch[self.value].to_numpy(dtype=float).tolist()
         for i, (x, pos) in enumerate(zip(values, batch["grid_pos"], strict=True)):
             if math.isnan(x):  # missing values are flagged 0 and leave no trace in the state, as in the batch rule
@@ -79,14 +83,35 @@ class _SlotHistory(StatefulProcessor):
                 sigma = MAD_TO_SIGMA * seen.deviation(median)
                 flags[i] = int(sigma > 0 and abs(x - median) > self.k * sigma)
             seen.add(x)
-        for name, node in seen.changed().items():
-            self.past.updateValue((name,), node)
+            new.append(x)
+        self._keep(seen, new)
         yield batch.assign(**{self.out: flags})[[*self.columns, self.out]]
 
     def close(self) -> None:
         pass
 
 
+class _OrderedSlotHistory(_SlotHistory):
+    """The values in order, as a map of small nodes (``ordered``): a new row reads and writes a few of them whatever has
+    come before."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.past = handle.getMapState("past", "name string", "vals array<double>, counts array<bigint>")
+
+    def _read(self, name: str):
+        if not self.past.containsKey((name,)):
+            return None
+        values, counts = self.past.getValue((name,))
+        return list(values), list(counts)
+
+    def _seen(self) -> OrderedCounts:
+        return OrderedCounts(self._read)
+
+    def _keep(self, seen: OrderedCounts, new: list[float]) -> None:
+        for name, node in seen.changed().items():
+            self.past.updateValue((name,), node)
+
+
 def expanding_flags(
     stream: DataFrame, value: str, start: str, k: float = 3.5, min_samples: int = 0, series_cols: Sequence[str] = (),
     ts_col: str = "timestamp", out: str = "outlier", step_seconds: int = 3600,
@@ -103,7 +128,7 @@ def expanding_flags(
         slotted.withColumn("grid_pos", steps_since(ts_col, start, step_seconds))
         .groupBy(*series_cols, *SLOT)
         .transformWithStateInPandas(
-            statefulProcessor=_SlotHistory(ts_col, value, k, min_samples, columns, out),
+            statefulProcessor=_OrderedSlotHistory(ts_col, value, k, min_samples, columns, out),
             outputStructType=schema, outputMode="append", timeMode="none",
         )
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoload.operators import blocks, tsa
 from chronoload.session import new_path
+from chronoload.streaming.load import _OrderedSlotHistory, _SlotHistory
 from chronoload.streaming.ordered import LEAF, OrderedCounts
 from chronoload.training import fit, importance, runs
 from chronoload.training.registry import build_model, settle, translate
@@ -57,6 +58,41 @@ def test_a_row_reads_few_nodes_of_a_long_history():
     assert all(len(node[0]) <= LEAF for node in stored.values())
 
 
+class _Values(list):
+    def get(self):
+        return iter(self)
+
+    def exists(self):
+        return bool(self)
+
+    def appendList(self, rows):  # noqa: N802
+        self.extend(rows)
+
+
+class _Nodes(dict):
+    def containsKey(self, key):  # noqa: N802
+        return key in self
+
+    def getValue(self, key):  # noqa: N802
+        return self[key]
+
+    def updateValue(self, key, node):  # noqa: N802
+        self[key] = node
+
+
+def test_list_and_nodes_give_one_answer():
+    rng = np.random.default_rng(9)
+    y = np.where(rng.random(300) < 0.1, np.nan, rng.normal(10, 1, 300) + 20 * (rng.random(300) < 0.05))
+    frame = pd.DataFrame({"t": range(300), "y": y, "grid_pos": range(300)})
+    found = {}
+    for kind, state in ((_OrderedSlotHistory, _Nodes()), (_SlotHistory, _Values())):
+        history = kind("t", "y", 3.5, 20, ["t", "y"], "outlier")
+        history.past = state
+        found[kind] = [f for a in range(0, 300, 40)
+                       for f in next(history.handleInputRows(None, iter([frame[a : a + 40]]), None))["outlier"].tolist()]
+    assert found[_OrderedSlotHistory] == found[_SlotHistory] and sum(found[_SlotHistory]) > 5
+
+
 # ------------------------------------------------------------------ least value so far
 
 
