@@ -172,7 +172,7 @@ class _Block:
                 c, n = _counted(codes)
                 parts.append((c, n * train))
                 waiting += len(c)
-                if waiting > 1_000_000:
+                if waiting > 300_000:
                     parts, waiting = [_merged(parts)], 0
         return _merged(parts)
 
@@ -245,13 +245,15 @@ def _blocks(docs: DataFrame, hold: tuple[int, int], shards: int, block: int) ->
                 yield _batch(columns)
 
         for batch in batches:
-            ids, held, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch)
-            for i, h, t in zip(ids, held, texts, strict=True):
-                now.add(i, h, normal(t))
-                if now.size >= block:
-                    yield from out(now)
-                    number += 1
-                    now = _Block(f"{part}-{number}")
+            for at in range(0, batch.num_rows, 256):  # few texts are copied at once
+                some = batch.slice(at, 256)
+                ids, held, texts = some.column(0).to_pylist(), some.column(1).to_pylist(), texts_of(some)
+                for i, h, t in zip(ids, held, texts, strict=True):
+                    now.add(i, h, normal(t))
+                    if now.size >= block:
+                        yield from out(now)
+                        number += 1
+                        now = _Block(f"{part}-{number}")
         if now.ids:
             yield from out(now)
 
